@@ -142,10 +142,10 @@ CTES["live_customer"] = f"""
 
 def sliding(source: str) -> str:
     """RANGE frames per account; money in whole cents so the mean is rounded exactly."""
-    frame = "over (partition by account_number order by at range between {w} preceding and current row)"
+    frame = "over (partition by account_number order by tick range between {w} preceding and current row)"
     h, d = frame.format(w=3600000000), frame.format(w=86400000000)
     return f"""
-        select * exclude (at, cents, s1, s24, n1, n24),
+        select * exclude (tick, cents, s1, s24, n1, n24),
             cast(case when blank then 1 else n1 end as integer) as transactions_last_1h,
             cast(case when blank then 1 else n24 end as integer) as transactions_last_24h,
             cast(case when blank then cents else s1 end as decimal(18,2)) * 0.01 as amount_last_1h,
@@ -155,7 +155,7 @@ def sliding(source: str) -> str:
         from (select *, count(*) {h} as n1, count(*) {d} as n24,
                   cast(sum(cents) {h} as bigint) as s1, cast(sum(cents) {d} as bigint) as s24
               from (select *, coalesce(trim(account_number), '') = '' as blank,
-                        coalesce(epoch_us(transaction_date), 0) as at, cast(amount * 100 as bigint) as cents
+                        coalesce(epoch_us(transaction_date), 0) as tick, cast(amount * 100 as bigint) as cents
                     from {source}))
     """
 

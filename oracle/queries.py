@@ -358,7 +358,7 @@ Q["label_writeback"] = q("transaction_id is_fraud_confirmed fraud_label_date_key
 Q["fact_transaction_usd"] = """
     select transaction_id, f.currency, cast(amount as double) as amount,
         cast(cast(sign(units) * ((2 * abs(units) + 10000) // 20000) as decimal(18,2)) * 0.01 as double) as amount_usd
-    from (select *, cast(amount * 100 as bigint) * case when currency = 'USD' then 10000
+    from (select *, cast(amount * 100 as bigint) * case when transaction_timestamp is null then null when currency = 'USD' then 10000
                  when currency = 'EUR' then 10000 + 10 * day(transaction_timestamp) end as units
           from f_txn) f
 """

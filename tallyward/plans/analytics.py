@@ -142,6 +142,7 @@ def balance_anomalies(snapshot: DataFrame, account: DataFrame, dates: DataFrame,
     df = df.filter(F.col("spread") > 0.005).withColumn("z_score", F.round(z, 3))
     return (
         df.filter(F.abs("z_score") >= limit)
+        .select("account_key", "snapshot_date_key", "balance", "mean", "spread", "z_score")
         .join(account.select("account_key", "account_number"), "account_key", "left")
         .join(dates.select(F.col("date_key").alias("snapshot_date_key"), "full_date"),
               "snapshot_date_key", "left")

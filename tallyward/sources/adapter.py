@@ -36,21 +36,13 @@ def _versions(df: DataFrame, key: str, batches=(FIRST_BATCH, BATCH)) -> DataFram
 
 def _raw(df: DataFrame, name: str, key_column: str, exprs: dict[str, str]) -> DataFrame:
     """Project to the declared RAW columns (missing ones NULL) and add the load metadata."""
-    made = {k.lower(): e for k, e in exprs.items()}
     columns = []
     for c in BATCH_COLUMNS[name]:
-        e = F.expr(made[c.lower()]) if c.lower() in made else F.lit(None)
-        e = e.cast("string")
-        if c == key_column:
-            e = F.when(F.col("v") == 2, F.lit("  ")).otherwise(e)
-        columns.append(e.alias(c))
-    day = "if(b = 'B1', '2023-12-31', '2024-01-15')"
-    hour = "if(v = 1, 'T07:00:00', 'T06:00:00')"
-    out = df.select(
-        *columns,
-        F.col("b").alias("_BATCH_ID"),
-        F.lit("CORE").alias("_SOURCE_SYSTEM"),
-        F.expr(f"concat({day}, {hour})").alias("_LOAD_TS"),
+        e = f"cast({exprs.get(c, 'null')} as string)"
+        columns.append(f"if(v = 2, '  ', {e}) as {c}" if c == key_column else f"{e} as {c}")
+    out = df.selectExpr(
+        *columns, "b as _BATCH_ID", "'CORE' as _SOURCE_SYSTEM",
+        "concat(if(b = 'B1', '2023-12-31', '2024-01-15'), if(v = 1, 'T07:00:00', 'T06:00:00')) as _LOAD_TS",
     )
     return out.withColumn("_ROW_HASH", row_hash(BATCH_COLUMNS[name]))
 
