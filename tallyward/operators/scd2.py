@@ -51,21 +51,19 @@ def scd2_apply(dimension: DataFrame, staged: DataFrame, key: str, as_of: str,
     ``staged`` stay open. Closed rows pass through untouched.
     """
     day = F.lit(as_of).cast("date")
-    current = dimension.filter("is_current")
-    changes = scd2_changes(staged, current, key, hash_col)
-    fresh = changes.withColumns({
+    fresh = scd2_changes(staged, dimension.filter("is_current"), key, hash_col).withColumns({
         "effective_date": day, "expiry_date": F.lit(None).cast("date"), "is_current": F.lit(True),
     })
-    closing = changes.select(key, F.lit(True).alias("_closing"))
-    touched = dimension.join(closing, key, "left")
-    closes = F.col("is_current") & F.coalesce(F.col("_closing"), F.lit(False))
+    newest = staged.select(key, F.col(hash_col).alias("_newest"))
+    closes = F.col("is_current") & F.coalesce(F.col("_newest") != F.col(hash_col), F.lit(False))
     kept = (
-        touched.filter(~(closes & (F.col("effective_date") >= day)))
+        dimension.join(newest, key, "left")
+        .filter(~(closes & (F.col("effective_date") >= day)))
         .withColumns({
             "expiry_date": F.when(closes, F.date_sub(day, 1)).otherwise(F.col("expiry_date")),
             "is_current": F.col("is_current") & ~closes,
         })
-        .drop("_closing")
+        .drop("_newest")
     )
     return kept.unionByName(fresh.select(*kept.columns))
 

@@ -14,6 +14,7 @@ from time import monotonic
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyward.functions.parsing import number, parse_datetime
 from tallyward.ml.training import score
@@ -72,10 +73,9 @@ def stored_history(spark: SparkSession, path: str, batch_id: int) -> DataFrame |
     """Stored rows of other micro-batches; a replayed batch never sees its own output."""
     if not _exists(spark, path):
         return None
-    rows = spark.read.schema(
-        RAW_SCHEMAS["realtime_transaction"].add("mb", "long").add("dt", "date")
-    ).parquet(path)
-    return rows.filter(F.col("mb") != batch_id)
+    stored = T.StructType([*RAW_SCHEMAS["realtime_transaction"].fields,
+                           T.StructField("mb", T.LongType()), T.StructField("dt", T.DateType())])
+    return spark.read.schema(stored).parquet(path).filter(F.col("mb") != batch_id)
 
 
 def _typed_history(rows: DataFrame, first_day) -> DataFrame:
