@@ -7,13 +7,14 @@ from functools import cached_property, lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyward.functions.parsing import parse_datetime, text
 from tallyward.operators.enrich import (
     enrich_account, enrich_customer, live_accounts, live_customers, live_transactions,
 )
 from tallyward.operators.features import features
 from tallyward.operators.scd2 import scd2_history
 from tallyward.operators.scoring import ModelId, label_scores, rule_score, split_streams
-from tallyward.operators.velocity import velocity
+from tallyward.operators.velocity import hot_accounts, velocity
 from tallyward.plans import dims as D
 from tallyward.plans import facts as FT
 from tallyward.plans import staging as ST
@@ -63,7 +64,10 @@ class Bank:
 
     @cached_property
     def moving(self) -> DataFrame:
-        return velocity(self.transactions)
+        sent = self.raw("transaction").select(
+            text("AccountNumber").alias("account_number"),
+            parse_datetime("TransactionDate").alias("transaction_date"))
+        return velocity(self.transactions, hot=hot_accounts(sent))
 
     @cached_property
     def enriched(self) -> DataFrame:

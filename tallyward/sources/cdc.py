@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyward.functions.parsing import is_blank
 from tallyward.schemas import CDC_SCHEMA
 
 _CORRUPT = "_corrupt_record"
@@ -26,15 +27,17 @@ def read_cdc(spark: SparkSession, fmt: str = "kafka", options: dict | None = Non
 
 
 def parse_cdc(df: DataFrame, schema: T.StructType = CDC_SCHEMA) -> tuple[DataFrame, DataFrame]:
-    """Split into parsed rows and rows that are not valid JSON objects."""
+    """Split into parsed rows and rows that are not valid JSON objects.
+
+    ``inline`` makes each field a real column, so a message is parsed once and not once per
+    field that a later step reads.
+    """
     wide = T.StructType(list(schema.fields) + [T.StructField(_CORRUPT, T.StringType())])
-    parsed = df.withColumn(
-        "_p", F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    )
-    bad = F.col("_p").isNull() | F.col(f"_p.{_CORRUPT}").isNotNull()
-    good_rows = parsed.filter(~bad).select(*[F.col("_p")[f.name].alias(f.name) for f in schema.fields])
-    bad_rows = parsed.filter(bad).select("value")
-    return good_rows, bad_rows
+    message = F.from_json(
+        "value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    parsed = df.select("value", F.inline(F.array(message)))
+    bad = is_blank("value") | F.col(_CORRUPT).isNotNull()
+    return parsed.filter(~bad).select(*schema.names), parsed.filter(bad).select("value")
 
 
 def filter_ops(df: DataFrame) -> DataFrame:
