@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Wide projections make methods the JVM refuses to compile; above this size Spark splits them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
