@@ -86,3 +86,15 @@ def test_quality(spark):
     df = velocity(spark.createDataFrame(make(200, 9), SCHEMA))
     row = velocity_quality(df).first()
     assert row["n_rows"] == 200 and 0 < row["share_different"] < 1
+
+
+def test_a_foreign_hot_list_changes_nothing(spark):
+    """The list only cuts the work: one counted on other, later rows gives the same figures."""
+    from tallyward.operators.velocity import hot_accounts
+
+    rows = make(400, 21)
+    df = spark.createDataFrame(rows, SCHEMA)
+    later = df.filter("transaction_date > timestamp'2024-01-03'")
+    hot = hot_accounts(later, hot_rows=5)
+    assert hot.count() > 0
+    assert figures(velocity(df, hot=hot)) == brute(rows)
