@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import direct_codes, packing, token_counts
+from tallyward.llm import direct_codes, exact_dedup, packing, sketches, token_counts
 from tallyward.llm.tables import table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORDS)
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return direct_codes.round_trip(table(spark, sf_dir, "documents"), WORDS)
 
@@ -28,7 +36,17 @@ def op10_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op9_fingerprints": op9_fingerprints,
     "op10_direct_codes": op10_direct_codes,
 }
 
-ORACLES: dict[str, str] = {}
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op4_exact_dedup": f"""
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               coalesce(doc_id = max(doc_id) OVER same, false) AS kept, sha256(norm) AS text_sha256
+        FROM (SELECT doc_id, {LOWER} AS norm FROM documents)
+        WINDOW same AS (PARTITION BY norm)""",
+}
