@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import direct_codes, exact_dedup, packing, sketches, token_counts
+from tallyward.llm import direct_codes, exact_dedup, near_dups, packing, sketches, token_counts
 from tallyward.llm.tables import table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -25,6 +25,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
     "op10_direct_codes": op10_direct_codes,
 }
