@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import direct_codes, exact_dedup, near_dups, packing, sketches, token_counts
+from tallyward.llm import direct_codes, exact_dedup, language, near_dups, packing, sketches, token_counts
 from tallyward.llm.tables import table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORDS)
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op10_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
+    "op3_language": op3_language,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
