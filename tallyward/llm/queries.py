@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyward.llm import direct_codes, exact_dedup, language, near_dups, packing, sketches, token_counts
+from tallyward.llm import direct_codes, exact_dedup, language, near_dups, packing, quotes, sketches, token_counts
 from tallyward.llm.tables import table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +30,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of all conversations, written as mails that quote each other, are linked again."""
+    mails = quotes.replies_with_quotes(table(spark, sf_dir, "conversations"))
+    turn = lambda c: F.split(c, ":")[1].cast("long")
+    return quotes.conversations(mails).select(
+        F.col("thread").cast("long").alias("conv_id"), F.col("sent").alias("turn"), turn("parent").alias("parent_turn"),
+        turn("root").alias("root_turn"), "depth", "max_level", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -46,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_language": op3_language,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_quotation_linking": op6_quotation_linking,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
     "op10_direct_codes": op10_direct_codes,
@@ -59,4 +70,15 @@ ORACLES: dict[str, str] = {
                coalesce(doc_id = max(doc_id) OVER same, false) AS kept, sha256(norm) AS text_sha256
         FROM (SELECT doc_id, {LOWER} AS norm FROM documents)
         WINDOW same AS (PARTITION BY norm)""",
+    "op6_quotation_linking": """
+        WITH turns AS (SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY conv_id, turn),
+        runs AS (
+            SELECT *, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) = turn - 1 AS follows FROM turns),
+        chains AS (
+            SELECT *, max(CASE WHEN follows THEN NULL ELSE turn END) OVER (
+                PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS root_turn FROM runs)
+        SELECT conv_id, turn, CASE WHEN follows THEN turn - 1 END AS parent_turn, root_turn,
+               turn - root_turn AS depth, least(turn - root_turn, 2) AS max_level,
+               sha256(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS text_sha256
+        FROM chains""",
 }
