@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tallyward.llm.components import connected
 from tallyward.llm.tables import slices, stored
+from tallyward.llm.word_hashes import BASE, mix, words
 
 SHINGLE = 5
 SHARE = 75  # link where 100 * intersection >= SHARE * union
@@ -38,54 +39,17 @@ SYMBOLS, CHUNK, LIMIT = 64, 4, 31
 LANES = [f"s{i}" for i in range(SYMBOLS // 4)]  # four symbols to a long
 WORDS_OF_FILTER = 1 << 18
 
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"):ord("Z") + 1] += 32
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """Spreads 64-bit values (the finaliser of a common public generator)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-_BASE = 0x9E3779B97F4A7C15
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS["up"]) < n:
-        for name, value in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            p = np.full(max(n, 1 << 16), value, np.uint64)
-            p[0] = 1
-            _POWERS[name] = np.multiply.accumulate(p)
-    return _POWERS["up"], _POWERS["down"]
-
-
 def shingles(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of the texts, in order, and the number of each text.
 
-    Words are hashed by two sums over their bytes, shingles by mixing five words."""
-    data = [t.encode("utf-8", "surrogatepass") for t in texts]
-    raw = _LOWER[np.frombuffer(b" ".join(data) + b" ", np.uint8)]
-    ends = np.cumsum(np.fromiter((len(d) + 1 for d in data), np.int64, len(data)))
-    blank = _BLANK[raw]
-    edge = np.diff(np.concatenate([[True], blank]).astype(np.int8))
-    begin, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    up, down = _powers(len(raw) + 1)
-    value = mix(raw.astype(np.uint64) + np.uint64(1))
-    running = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(value * up[:len(raw)], out=running[1:])
-    word = mix((running[stop] - running[begin]) * down[begin] + (stop - begin).astype(np.uint64))
-    upto = np.searchsorted(begin, ends)
-    counts = np.diff(np.concatenate([[0], upto]))
+    Texts of fewer than ``size`` words have one, of all their words."""
+    word, counts = words(texts)
+    upto = np.cumsum(counts)
     # Hash of each run of `size` words; runs that cross a text's end are left out.
     n = len(word)
     run = np.zeros(n, np.uint64)
     for j in range(size):
-        run[:max(0, n - j)] = run[:max(0, n - j)] * np.uint64(_BASE) + word[j:]
+        run[:max(0, n - j)] = run[:max(0, n - j)] * np.uint64(BASE) + word[j:]
     own = np.repeat(upto, counts) - np.arange(n)  # words left in the text
     whole = own >= size
     short = np.flatnonzero((counts > 0) & (counts < size))
@@ -93,7 +57,7 @@ def shingles(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
         at = upto[i] - counts[i]
         h = np.uint64(counts[i])
         for w in word[at:upto[i]]:
-            h = h * np.uint64(_BASE) + w
+            h = h * np.uint64(BASE) + w
         run[at] = h
         whole[at] = True
     per = np.maximum(counts - (size - 1), (counts > 0).astype(np.int64))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import direct_codes, exact_dedup, language, near_dups, packing, quotes, sketches, token_counts
+from tallyward.llm import attention_lm, direct_codes, exact_dedup, language, near_dups, packing, quotes, sketches, token_counts
 from tallyward.llm.tables import table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -30,6 +30,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.scored(table(spark, sf_dir, "documents"), WORDS)
+
+
 def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The turns of all conversations, written as mails that quote each other, are linked again."""
     mails = quotes.replies_with_quotes(table(spark, sf_dir, "conversations"))
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_language": op3_language,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_attention_lm": op5_attention_lm,
     "op6_quotation_linking": op6_quotation_linking,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
