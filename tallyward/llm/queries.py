@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import attention_lm, direct_codes, exact_dedup, language, near_dups, packing, quotes, sketches, token_counts
+from tallyward.llm import attention_lm, direct_codes, exact_dedup, language, near_dups, packing, quotes, segmentations, sketches, token_counts
 from tallyward.llm.tables import table
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -43,6 +44,10 @@ def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
         turn("root").alias("root_turn"), "depth", "max_level", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op7_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentations.sample_table(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_attention_lm": op5_attention_lm,
     "op6_quotation_linking": op6_quotation_linking,
+    "op7_segmentations": op7_segmentations,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
     "op10_direct_codes": op10_direct_codes,

@@ -39,8 +39,8 @@ from tallyward.llm.tables import slices
 from tallyward.llm.word_hashes import BASE, mix
 
 BLANK = "▁"
-SAMPLES = 4
-REACH = 40.0
+SAMPLES = 3
+REACH = 37.0
 
 
 class Vocabulary:
@@ -117,27 +117,37 @@ class Lattice:
             found = vocabulary.piece_at[node]
             starts.append(place[found >= 0])
             pieces.append(found[found >= 0])
-            lengths.append(np.full((found >= 0).sum(), length))
+            lengths.append(length)
         single = np.zeros(n, bool)
         single[starts[0] if starts else []] = True
         missing = np.flatnonzero(~single)  # characters that are no piece
         starts.append(missing)
         pieces.append(np.full(len(missing), -1))
-        lengths.append(np.ones(len(missing), np.int64))
-        start, piece, length = map(np.concatenate, (starts, pieces, lengths))
-        left = (stop - np.arange(n))[start]  # places to the word's end: the order of the backward sums
-        order = np.lexsort((piece, start, left))
-        start, piece, length = start[order], piece[order], length[order]
+        lengths.append(1)
+        # Edges stand by their place's distance to the word's end, the order of the backward sums.
+        # A place has one edge of each length at most, so each length is dealt out at once.
+        left = stop - np.arange(n)
+        short = n == 0 or left.max() < 1 << 16
+        places = np.argsort(left.astype(np.uint16 if short else np.int64), kind="stable")
+        self.degree = np.zeros(n, np.int64)
+        for group in starts:
+            self.degree[group] += 1
+        self.first = np.empty(n, np.int64)
+        self.first[places] = np.cumsum(self.degree[places]) - self.degree[places]
+        free, size = self.first.copy(), int(self.degree.sum())
+        start, piece, length = (np.empty(size, np.int64) for _ in range(3))
+        for group, own, long in zip(starts, pieces, lengths):
+            at = free[group]
+            start[at], piece[at], length[at] = group, own, long
+            free[group] = at + 1
+        self.start = start
         self.end = start + length
         wide = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
         self.piece = piece
         weight = np.where(piece >= 0, vocabulary.weight[piece], wide[start] * vocabulary.weight[vocabulary.byte_id[0]])
-        first = np.flatnonzero(np.concatenate([[True], start[1:] != start[:-1]])) if n else np.empty(0, np.int64)
-        degree = np.diff(np.append(first, len(start)))
-        self.first, self.degree = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.first[start[first]], self.degree[start[first]] = first, degree
+        first, degree = self.first[places], self.degree[places]
         sums = np.zeros(n + 1)
-        distance = left[order][first]
+        distance = left[places]
         bounds = np.searchsorted(distance, np.arange(1, (distance[-1] if n else 0) + 2))
         ending = np.zeros(n + 1, bool)
         ending[ends] = True
@@ -150,7 +160,7 @@ class Lattice:
             at, many = first[a:b] - first[a], degree[a:b]
             top = np.maximum.reduceat(value, at)
             total = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, many)), at))
-            sums[start[first[a:b]]] = total
+            sums[places[a:b]] = total
             self.log[e] = value - np.repeat(total, many)
         share = np.cumsum(np.exp(self.log))
         before = share[first] - np.exp(self.log[first])
@@ -255,8 +265,9 @@ class Batch:
             start = np.concatenate([[0.0], total])[first]
             before = total - gain - start[whose] + prefix[whose]
             reached = prefix + np.bincount(whose, gain, len(text))
-            self._siblings(queue, k - sample, sample, text, value, whose, lane, edge, before, first, steps, word, nodes)
             ahead = [nodes[t][4] for t in text]
+            self._siblings(queue, k - sample, sample, text, value, whose, before, first, steps,
+                           (ahead, edge, first, word, lane))
             sizes = np.array([len(a) for a in ahead]) + steps
             parts = [x for i, a in enumerate(ahead) for x in (a, edge[first[i]:first[i] + steps[i]])]
             out.append({"text": text, "sample": sample, "edges": np.concatenate(parts) if parts else edge,
@@ -264,17 +275,16 @@ class Batch:
             nodes = {}
             for t in range(texts):
                 if queue[t] and (sample == 0 or t in set_of(out[-1])):
-                    nodes[t] = queue[t].pop(0)
-            # The node's own first edge belongs to the beginning that its paths share.
+                    nodes[t] = self._node(*queue[t].pop(0))
         self.threshold = np.full(texts, -np.inf)
         for t, node in nodes.items():
             self.threshold[t] = node[0]
         return out
 
-    def _siblings(self, queue, wanted, sample, text, value, whose, lane, edge, before, first, steps, word, nodes):
+    def _siblings(self, queue, wanted, sample, text, value, whose, before, first, steps, found):
         """Adds to each text's queue the siblings along its path that may be among the best."""
-        lattice = self.lattice
-        floor = np.full(len(text), -2 * REACH)
+        lattice, (_, edge, _, word, lane) = self.lattice, found
+        floor = np.full(len(text), -REACH - 8)
         todo = np.arange(len(text))
         while len(todo):
             chosen = np.zeros(len(text), bool)
@@ -292,37 +302,36 @@ class Batch:
             cut = log - np.log(np.exp(np.minimum(log - value[mine], 700)) + noise)
             order = np.lexsort((-cut, mine))
             bound = np.searchsorted(mine[order], np.arange(len(text) + 1))
+            order = order[np.arange(len(order)) - bound[mine[order]] < wanted]
+            bound = np.searchsorted(mine[order], np.arange(len(text) + 1)).tolist()
+            # What a node is made of, should it come up: value, log probability, its text's place
+            # among these, step, edge.
+            made = list(zip(cut[order].tolist(), log[order].tolist(), mine[order].tolist(),
+                            step[order].tolist(), other[order].tolist()))
             again = []
             for i in todo.tolist():
                 t = int(text[i])
-                best = order[bound[i]:bound[i + 1]][:wanted]
-                held = sorted([*queue[t], *((cut[j], log[j], j) for j in best.tolist())], key=lambda x: -x[0])[:wanted]
+                held = sorted([*queue[t], *((*x, found) for x in made[bound[i]:bound[i + 1]])], key=lambda x: -x[0])[:wanted]
                 deeper = steps[i] and before[first[i] + steps[i] - 1] < floor[i]
                 if deeper and (len(held) < wanted or held[-1][0] <= floor[i] + REACH):
                     floor[i] *= 8
                     again.append(i)
-                    continue
-                queue[t] = [self._node(x, nodes[t], i, step, other, edge, first, word, lane) if len(x) == 3 else x for x in held]
+                else:
+                    queue[t] = held
             todo = np.array(again, np.int64)
 
-    def _node(self, found, parent, i, step, other, edge, first, word, lane) -> tuple:
-        value, log, j = found
-        own = word[lane[step[j]]]
-        inside = self.lattice.end[other[j]] - self.base[self.word[own]]
-        edges = np.concatenate([parent[4], edge[first[i]:step[j]], [other[j]]])
+    def _node(self, value, log, i, step, other, found) -> tuple:
+        """Value, log probability, first word, place within it, and the edges before it."""
+        ahead, edge, first, word, lane = found
+        own = word[lane[step]]
+        inside = self.lattice.end[other] - self.base[self.word[own]]
+        edges = np.concatenate([ahead[i], edge[first[i]:step], [other]])
         if inside == self.own[self.word[own]]:
             return value, log, own + 1, 0, edges
         return value, log, own, inside, edges
 
     def _place_of(self, edge: np.ndarray) -> np.ndarray:
-        if not hasattr(self, "_start"):
-            lattice = self.lattice
-            self._start = np.empty(len(lattice.end), np.int64)
-            places = np.arange(len(lattice.first))
-            step = np.arange(lattice.degree.sum()) + np.repeat(
-                lattice.first - (np.cumsum(lattice.degree) - lattice.degree), lattice.degree)
-            self._start[step] = np.repeat(places, lattice.degree)
-        return self._start[edge]
+        return self.lattice.start[edge]
 
     def ids(self, edges: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids; a character without a piece becomes its bytes."""
@@ -385,7 +394,7 @@ def sample_table(docs: DataFrame, path: str, k: int = SAMPLES, key: str = "doc_i
         own = vocabulary(path)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts, 2_000_000):
+            for a, b in slices(texts, 4_000_000):
                 seeds = np.array([x or 0 for x in keys[a:b]], np.int64)
                 made: list[list] = [[] for _ in names]
                 for s in segmentations(texts[a:b], seeds, own, k):
