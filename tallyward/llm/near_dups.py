@@ -1,18 +1,23 @@
 """Operator 8: near-duplicates by a multi-index Hamming join over b-bit MinHash signatures.
 
-Signatures have SYMBOLS symbols of 16 bits: the low bits of as many minima over a document's
-5-word shingles. Two documents of resemblance J differ in about (1 - J) * SYMBOLS symbols; at
-J = 0.75 they differ in more than LIMIT = 31 of 64 once in 2e5 cases, and less often above.
-Pigeonhole: with at most 31 errors, one of 16 chunks of 4 symbols has at most one. So each chunk
-gives four keys, one for each symbol that may be wrong, made of the other three: all pairs within
-LIMIT share a key. Links are confirmed on the full shingle sets, from whole texts.
+Index. The first SYMBOLS = 64 minima over a document's 5-word shingles give symbols of 16 bits. Two
+documents of resemblance J differ in about (1 - J) * SYMBOLS of them; at J = 0.75 in more than 31
+once in 1e5 cases, and less often above. Pigeonhole: with at most 31 errors, one of 16 chunks of 4
+symbols has at most one. So each chunk gives four keys, one for each symbol that may be wrong, made
+of the other three: all pairs within 31 errors share a key.
+
+Distance. All MINIMA = 512 minima give symbols of 4 bits, kept as bit planes, so that the number of
+symbols that differ is a few bit counts. At J = 0.75 it is above LIMIT = 162 (4.4 deviations above
+its mean of 120) five times in 1e6 cases; pairs below J = 0.66 are mostly above it. Links are
+confirmed on the full shingle sets, from whole texts.
 
 Groups of copies never become pairs. Texts with the same shingle set form one class. Every class
-is first compared with one centre: of the smallest classes of its keys, the one of the nearest
-signature. Confirmed links give components. Only in keys that still hold several components are
-pairs made, and only across components and within LIMIT; the nearest pair of each class and
-component is confirmed first, then every pair whose ends are still apart. So each link between
-different components is found, whatever the size of a group, and no cap is set.
+is first compared with one centre: of the smallest classes of its keys, the one that it shares most
+keys with. Confirmed links give components. Only in keys that still hold several components are
+pairs made, only across components and within LIMIT, and only at the first key that a pair shares;
+the nearest pair of each class and component is confirmed first, then every pair whose ends are
+still apart. So each link between different components is found, whatever the size of a group, and
+no cap is set.
 
 Contract: null counts as empty; a document without words has an empty set and no links. A doc_id
 stands for one document: rows that repeat it are linked by any of their texts and come out once
@@ -35,8 +40,12 @@ from tallyward.llm.word_hashes import BASE, mix, words
 
 SHINGLE = 5
 SHARE = 75  # link where 100 * intersection >= SHARE * union
-SYMBOLS, CHUNK, LIMIT = 64, 4, 31
-LANES = [f"s{i}" for i in range(SYMBOLS // 4)]  # four symbols to a long
+SYMBOLS, CHUNK = 64, 4
+MINIMA, BITS, LIMIT = 512, 4, 162
+LANES = [f"s{i}" for i in range(SYMBOLS // 4)]  # four symbols to a long: what keys are made of
+INDEX = [f"q{i}" for i in range(16)]  # bit i of the first 64 symbols to a long
+PLANES = INDEX[:BITS] + [f"p{i}" for i in range(BITS, MINIMA // 64 * BITS)]  # BITS longs for every 64 symbols
+SIGNATURE = [*INDEX, *PLANES[BITS:]]
 WORDS_OF_FILTER = 1 << 18
 
 def shingles(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -64,21 +73,34 @@ def shingles(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     return mix(run[whole]), per
 
 
-_FACTORS = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
-_SHIFTS = mix(np.arange(1001, SYMBOLS + 1001, dtype=np.uint64))
+_FACTORS = (mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1)).astype(np.uint32)
+_SHIFTS = mix(np.arange(1001, MINIMA + 1001, dtype=np.uint64)).astype(np.uint32)
 
 
 def signatures(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """16-bit symbols, a row for each text with shingles."""
+    """16-bit symbols, a row for each text with shingles and a column for each minimum."""
     begin = np.cumsum(counts) - counts
     begin = begin[counts > 0]
-    out = np.empty((len(begin), SYMBOLS), np.uint16)
+    out = np.empty((MINIMA, len(begin)), np.uint16)
     if not len(begin):
-        return out
-    for k in range(SYMBOLS):
-        least = np.minimum.reduceat((values ^ _SHIFTS[k]) * _FACTORS[k], begin)
-        out[:, k] = mix(least) >> np.uint64(48)
-    return out
+        return out.T
+    short = (values >> np.uint64(32)).astype(np.uint32)
+    room = np.empty_like(short)
+    for k in range(MINIMA):
+        np.bitwise_xor(short, _SHIFTS[k], out=room)
+        np.multiply(room, _FACTORS[k], out=room)
+        out[k] = mix(np.minimum.reduceat(room, begin).astype(np.uint64)) >> np.uint64(48)
+    return np.ascontiguousarray(out.T)
+
+
+def planes(symbols: np.ndarray) -> np.ndarray:
+    """SIGNATURE: 16 longs of one bit each of the first 64 symbols, BITS longs for every further 64."""
+    made = []
+    for at in range(0, MINIMA, 64):
+        part = symbols[:, at:at + 64]
+        made += [np.packbits((part >> np.uint16(i)).astype(np.uint8) & 1, axis=1, bitorder="little").view(np.int64)
+                 for i in range(BITS if at else 16)]
+    return np.hstack(made)
 
 
 def _sketch(docs: DataFrame) -> DataFrame:
@@ -96,14 +118,15 @@ def _sketch(docs: DataFrame) -> DataFrame:
                         own = np.unique(values[end - n:end])
                         sizes.append(len(own))
                         sets.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if n else None)
-                    lanes = np.zeros((b - a, len(LANES)), np.int64)
-                    lanes[counts > 0] = signatures(values, counts).view(np.int64)
+                    lanes = np.zeros((b - a, len(LANES) + len(SIGNATURE)), np.int64)
+                    symbols = signatures(values, counts)
+                    lanes[counts > 0] = np.hstack([np.ascontiguousarray(symbols[:, :SYMBOLS]).view(np.int64), planes(symbols)])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()),
-                     *[pa.array(lanes[:, i]) for i in range(len(LANES))]],
-                    names=["doc_id", "n_shingles", "set_id", *LANES])
+                     *[pa.array(lanes[:, i]) for i in range(lanes.shape[1])]],
+                    names=["doc_id", "n_shingles", "set_id", *LANES, *SIGNATURE])
 
-    ddl = "doc_id long, n_shingles long, set_id binary, " + ", ".join(f"{s} long" for s in LANES)
+    ddl = "doc_id long, n_shingles long, set_id binary, " + ", ".join(f"{s} long" for s in [*LANES, *SIGNATURE])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, ddl)
 
 
@@ -120,16 +143,32 @@ def _keys(classes: DataFrame) -> DataFrame:
     return classes.select("id", F.explode(F.array(*made)).alias("key"))
 
 
-def distance(a: str, b: str) -> Column:
-    """Symbols that differ between two signatures: the lanes of 16 bits of a ^ b that are not 0,
-    each folded onto its lowest bit."""
-    total = F.lit(0)
-    for s in LANES:
-        x = F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))
-        for by in (8, 4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, by))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
-    return total
+def _apart(planes_: list[str]) -> Column:
+    """Bit i: the symbols i of two signatures, x_ and y_, differ."""
+    apart = F.lit(0).cast("long")
+    for p in planes_:
+        apart = apart.bitwiseOR(F.col(f"x_{p}").bitwiseXOR(F.col(f"y_{p}")))
+    return apart
+
+
+def distance() -> Column:
+    """Symbols of BITS bits that differ between the signatures x_ and y_."""
+    return sum((F.bit_count(_apart(PLANES[at:at + BITS])) for at in range(BITS, len(PLANES), BITS)),
+               F.bit_count(_apart(PLANES[:BITS])))
+
+
+def _first_shared(key: Column) -> Column:
+    """Whether ``key`` is the first that the signatures x_ and y_ share. Of a chunk without errors
+    that is the key that leaves out its first symbol."""
+    apart, ones = _apart(INDEX), F.lit(0x1111111111111111)
+    a, b, c, d = (F.shiftrightunsigned(apart, i).bitwiseAND(ones) if i else apart.bitwiseAND(ones) for i in range(4))
+    several = a.bitwiseOR(b).bitwiseAND(c.bitwiseOR(d)).bitwiseOR(a.bitwiseAND(b)).bitwiseOR(c.bitwiseAND(d))
+    good = F.bitwise_not(several).bitwiseAND(ones)
+    index = F.shiftrightunsigned(key, 48).cast("int")
+    at = index - index % CHUNK
+    earlier = good.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), at) - 1)
+    errors = F.call_function("shiftrightunsigned", apart, at).bitwiseAND(15)
+    return (earlier == 0) & ((errors != 0) | (index % CHUNK == 0))
 
 
 def _size_fits(a: Column, b: Column) -> Column:
@@ -137,13 +176,15 @@ def _size_fits(a: Column, b: Column) -> Column:
     return (100 * F.least(a, b)) >= (SHARE * F.greatest(a, b))
 
 
-def _with(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sizes fit and whose signatures are within LIMIT, with the distance."""
-    signed = classes.select("id", F.struct("n_shingles", *LANES).alias("sig"))
-    both = pairs.join(signed.select(F.col("id").alias("a"), F.col("sig").alias("x")), "a").join(
-        signed.select(F.col("id").alias("b"), F.col("sig").alias("y")), "b")
-    return both.filter(_size_fits(F.col("x.n_shingles"), F.col("y.n_shingles"))).select(
-        "a", "b", distance("x", "y").alias("far")).filter(F.col("far") <= LIMIT)
+def _signed(classes: DataFrame, id_: str, mark: str, *columns: str) -> DataFrame:
+    """The classes with id ``id_`` and their sizes and signatures as columns marked x_ or y_."""
+    return classes.select(F.col("id").alias(id_), *columns, *[F.col(c).alias(mark + c) for c in ["n_shingles", *SIGNATURE]])
+
+
+def _within(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes fit and whose signatures are within LIMIT."""
+    both = pairs.join(_signed(classes, "a", "x_"), "a").join(_signed(classes, "b", "y_"), "b")
+    return both.filter(_size_fits(F.col("x_n_shingles"), F.col("y_n_shingles")) & (distance() <= LIMIT)).select("a", "b")
 
 
 def _wanted(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -203,9 +244,10 @@ def linked_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     keys = stored(keys.join(shared.select("key", "centre"), "key"), "near-keys")
 
     # One centre for each class.
-    stars = keys.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-    best = _with(stars, classes).groupBy("a").agg(F.min(F.struct("far", "b")).alias("best"))
-    links = _confirm(best.select("a", "best.b"), docs, "near-links").filter("linked")
+    stars = keys.filter("id <> centre").groupBy("id", "centre").agg(F.count(F.lit(1)).alias("n"))
+    best = stars.groupBy(F.col("id").alias("a")).agg(F.max(F.struct("n", (-F.col("centre")).alias("b"))).alias("best"))
+    best = _within(best.select("a", (-F.col("best.b")).alias("b")), classes)
+    links = _confirm(best, docs, "near-links").filter("linked")
     labels = connected(links)
 
     # Keys that still hold several components: pairs across components.
@@ -217,15 +259,17 @@ def linked_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     members = named.join(mixed.select("key"), "key")
     main = label(members.select("key", "centre").distinct(), "centre", "main").select("key", "main")
-    members = members.select("key", "id", "component").join(main, "key").join(
-        classes.select("id", F.struct("n_shingles", *LANES).alias("sig")), "id")
-    x = members.filter("component <> main").select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("x"))
-    y = members.select(F.col("key"), F.col("id").alias("b"), F.col("component").alias("cb"), F.col("main").alias("m"), F.col("sig").alias("y"))
-    far = distance("x", "y")
-    apart = stored(x.join(y, "key").filter(
-        (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("m")) | (F.col("a") < F.col("b")))
-        & _size_fits(F.col("x.n_shingles"), F.col("y.n_shingles")) & (far <= LIMIT)
-    ).select("a", "b", "ca", "cb", far.alias("far")).distinct(), "near-apart")
+    members = members.select("key", "id", "component").join(main, "key").join(classes.drop(*LANES), "id")
+    # Sizes that fit lie in the same or in neighbouring classes of ratio SHARE / 100.
+    step = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100.0 / SHARE)))
+    x = _signed(members.filter("component <> main").withColumn("step", step), "a", "x_", "key", "step", F.col("component").alias("ca"))
+    y = _signed(members.withColumn("step", F.explode(F.array(step - 1, step, step + 1))), "b", "y_", "key", "step",
+                F.col("component").alias("cb"), "main")
+    far = distance()
+    apart = stored(x.join(y, ["key", "step"]).filter(
+        (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
+        & _size_fits(F.col("x_n_shingles"), F.col("y_n_shingles")) & (far <= LIMIT) & _first_shared(F.col("key"))
+    ).select("a", "b", "ca", "cb", far.alias("far")), "near-apart")
 
     first = apart.groupBy("a", "cb").agg(F.min(F.struct("far", "b")).alias("best")).select("a", "best.b")
     done = _confirm(first, docs, "near-links")
@@ -242,7 +286,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = rows.filter("doc_id is not null and set_id is not null")
     classes = stored(known.groupBy("set_id").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"),
-        *[F.first(s).alias(s) for s in LANES]), "near-classes")
+        *[F.first(s).alias(s) for s in [*LANES, *SIGNATURE]]), "near-classes")
     labels = linked_classes(classes.drop("set_id"), docs)
     placed = classes.select("set_id", "id").join(labels, "id", "left").select(
         "set_id", F.coalesce("component", "id").alias("component"))
