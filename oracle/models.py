@@ -274,7 +274,7 @@ CTES["d_department"] = f"""
         coalesce(branch_key, '-1') as branch_key from stg_department left join d_branch using (branch_id)
 """
 CTES["d_employee"] = f"""
-    select {key('employee_id', 'e.scd2_hash')} as employee_key, employee_id, first_name, last_name, full_name, email,
+    select {key('employee_id', 'e.scd2_hash', "date '2024-02-01'")} as employee_key, employee_id, first_name, last_name, full_name, email,
         phone_number, date_of_birth, hire_date, position, salary, coalesce(d.department_key, '-1') as department_key,
         coalesce(b.branch_key, '-1') as branch_key, supervisor_id as supervisor_key, e.scd2_hash,
         date '2024-02-01' as effective_date, cast(null as date) as expiry_date, true as is_current
@@ -290,7 +290,7 @@ CTES["d_atm"] = f"""
 """
 _AGE = "(2024 - year(date_of_birth))"
 CTES["d_customer"] = f"""
-    select {key('c.customer_id', 'scd2_hash')} as customer_key, c.customer_id, first_name, last_name, full_name, email,
+    select {key('c.customer_id', 'scd2_hash', "date '2024-02-01'")} as customer_key, c.customer_id, first_name, last_name, full_name, email,
         date_of_birth, case when date_of_birth is null then 'Unknown' when {_AGE} < 18 then 'Under 18'
             when {_AGE} <= 25 then '18-25' when {_AGE} <= 35 then '26-35' when {_AGE} <= 45 then '36-45'
             when {_AGE} <= 55 then '46-55' when {_AGE} <= 65 then '56-65' else '65+' end as age_band,
@@ -301,7 +301,7 @@ CTES["d_customer"] = f"""
         where is_primary group by 1) p on c.customer_id = p.customer_id
 """
 CTES["d_account"] = f"""
-    select {key('account_number', 'a.scd2_hash')} as account_key, account_number,
+    select {key('account_number', 'a.scd2_hash', "date '2024-02-01'")} as account_key, account_number,
         coalesce(c.customer_key, '-1') as customer_key, coalesce(b.branch_key, '-1') as branch_key, account_type,
         account_status, currency, a.open_date, last_activity_date, interest_rate, minimum_balance, overdraft_limit,
         a.scd2_hash, date '2024-02-01' as effective_date, cast(null as date) as expiry_date, true as is_current

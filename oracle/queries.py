@@ -24,6 +24,28 @@ Q["load_summary"] = " union all ".join(f"""
         case when count(*) = 0 or count(*) filter (where trim({k}) <> '') = 0 then 'FAILED'
              when count(*) filter (where trim({k}) = '') > 0 then 'PARTIAL' else 'SUCCESS' end as status
     from raw_{n}""" for n, k in _KEYS.items())
+Q["load_totals"] = f"""
+    select count(*) as n_tables, cast(sum(n_rows) as bigint) as n_rows, cast(sum(n_errors) as bigint) as n_errors,
+        count(*) filter (where status = 'FAILED') as n_failed,
+        coalesce(string_agg(table_name, ',' order by table_name) filter (where status = 'FAILED'), '') as failed_tables
+    from ({Q["load_summary"]})
+"""
+Q["merge_keeps_labels"] = """
+    select transaction_id, cast(amount * 2 as double) as amount, is_fraud_confirmed, fraud_label_date_key, fraud_label_source
+    from f_labelled
+"""
+CTES["three_loads"] = """
+    select customer_id, city, scd2_hash, date '2023-12-31' as day from stg_customer_b1
+    union all select customer_id, city, scd2_hash, date '2024-01-15' from stg_customer
+    union all select customer_id, city, scd2_hash, date '2024-01-31' from stg_customer_b1
+"""
+Q["scd2_three_loads"] = f"""
+    select customer_id, city, scd2_hash, {key('customer_id', 'scd2_hash', 'day')} as customer_key,
+        strftime(day, '%Y-%m-%d') as effective_date,
+        strftime(lead(day) over w - 1, '%Y-%m-%d') as expiry_date, lead(day) over w is null as is_current
+    from (select *, lag(scd2_hash) over (partition by customer_id order by day) as before from three_loads)
+    where before is null or before <> scd2_hash window w as (partition by customer_id order by day)
+"""
 Q["labelled_transactions"] = q("transaction_id label", "label_rows")
 Q["detections_split"] = """
     select transaction_id as TransactionID, fraud_score, is_fraud_predicted, confidence_score, fraud_type,
@@ -422,11 +444,11 @@ Q["fpr_by_merchant_category"] = """
 Q["customer_risk_trend"] = """
     select t.customer_key, c.customer_id, c.customer_segment, strftime(period_start, '%Y-%m-%d') as period_start, n_scored,
         avg_score, max_score, previous_avg_score, round(avg_score - previous_avg_score, 6) as score_change
-    from (select *, lag(avg_score) over (partition by customer_key order by period_start) as previous_avg_score
+    from (select *, lag(avg_score) over (partition by customer_key, period_start is null order by period_start) as previous_avg_score
           from (select customer_key, week_start as period_start, count(*) as n_scored,
                     round(cast(sum(cast(fraud_score as decimal(10,4))) as double) / count(*), 6) as avg_score,
                     max(fraud_score) as max_score
-                from f_det join d_date on detection_date_key = date_key group by 1, 2)) t
+                from f_det left join d_date on detection_date_key = date_key group by 1, 2)) t
     left join d_customer c on t.customer_key = c.customer_key
 """
 Q["alert_sla"] = """
@@ -434,7 +456,7 @@ Q["alert_sla"] = """
         count(*) filter (where resolution_minutes <= 240) as n_within_sla,
         round(count(*) filter (where resolution_minutes <= 240) / count(*), 6) as sla_rate,
         round(quantile_cont(resolution_minutes, 0.5), 4) as median_minutes, max(resolution_minutes) as max_minutes
-    from f_alert a join d_date on alert_date_key = date_key left join d_employee e on a.employee_key = e.employee_key
+    from f_alert a left join d_date on alert_date_key = date_key left join d_employee e on a.employee_key = e.employee_key
     where resolution_minutes is not null group by 1, 2, 3, 4, 5
 """
 Q["volume_by_channel_country"] = """
@@ -477,11 +499,11 @@ Q["fraud_hotspots"] = """
 """
 Q["score_drift"] = """
     with periods as (select model_key, week_start as period_start, count(*) as n_scored
-                     from f_det join d_date on detection_date_key = date_key group by 1, 2),
+                     from f_det left join d_date on detection_date_key = date_key group by 1, 2),
     bins as (select unnest(range(0, 10)) as bin),
     shares as (select p.model_key, period_start, n_scored, bin, greatest(
-                   (select count(*) from f_det f join d_date d on f.detection_date_key = d.date_key
-                    where f.model_key = p.model_key and d.week_start = p.period_start
+                   (select count(*) from f_det f left join d_date d on f.detection_date_key = d.date_key
+                    where f.model_key = p.model_key and d.week_start is not distinct from p.period_start
                       and least(cast(floor(f.fraud_score * 10) as integer), 9) = bins.bin) / n_scored, 0.0001) as p
                from periods p, bins),
     paired as (select *, first_value(p) over (partition by model_key, bin order by period_start) as q0 from shares)

@@ -93,6 +93,7 @@ def split_streams(scored: DataFrame, model: ModelId) -> tuple[DataFrame, DataFra
     transactions = scored.select(
         *[F.col(stored_source(c)).alias(c) for c in REALTIME_PASS_THROUGH],
         *[F.col(c) for c in REALTIME_ENGINEERED],
+        *(["is_late"] if "is_late" in scored.columns else []),
     )
     name = F.col("model_name") if "model_name" in scored.columns else F.lit(model.name)
     version = F.col("model_version") if "model_version" in scored.columns else F.lit(model.version)

@@ -7,8 +7,8 @@ the order of addition does not matter.
 
 One account may hold a large share of all rows. Accounts above ``hot_rows`` are cut into
 time slices that run in parallel; each slice starts from the totals of the slices before
-it. The list of such accounts is at most ``HOT_LIST`` rows; accounts beyond it stay in one
-slice, which is slower but gives the same figures.
+it. Rows without a time have slices of their own. The list of such accounts is as long as there
+are accounts above ``hot_rows``; it is joined like any other table.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions.parsing import is_blank
+from tallyward.operators.dedup import latest_per_key
 
 HOUR = 3600
 DAY = 86400
-HOT_LIST = 10_000
 HOT_ROWS = 500_000
 SPREAD = 1024  # groups for rows without an account
 
@@ -60,26 +60,25 @@ def _keys(account: str, ts: str) -> dict[str, Column]:
 
 def hot_accounts(df: DataFrame, account: str = "account_number", ts: str = "transaction_date",
                  hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Accounts to slice, with their first time and slice width. At most HOT_LIST rows.
+    """Accounts to slice, with the first of their times and their slice width.
 
     Counted with a map-side combine over two columns. Any table with the accounts' rows will
     do, such as yesterday's facts: the list decides how work is cut, never the figures.
     """
+    timed = F.when(F.col("_timed"), F.col("_at"))
     stats = (
-        df.select(*[e.alias(n) for n, e in _keys(account, ts).items()])
+        df.select(*[e.alias(n) for n, e in _keys(account, ts).items()], F.col(ts).isNotNull().alias("_timed"))
         .filter(F.col("_acct").isNotNull())
         .groupBy("_acct")
-        .agg(F.count("*").alias("n"), F.min("_at").alias("first"), F.max("_at").alias("last"))
+        .agg(F.count("*").alias("n"), F.coalesce(F.min(timed), F.lit(0)).alias("first"),
+             F.coalesce(F.max(timed), F.lit(0)).alias("last"))
         .filter(F.col("n") > hot_rows)
     )
     width = F.greatest(
         F.lit(1), F.floor((F.col("last") - F.col("first")) * (hot_rows / 4.0) / F.col("n"))
     ).cast("bigint")
-    return (
-        stats.orderBy(F.col("n").desc(), "_acct").limit(HOT_LIST)
-        .select(F.col("_acct").alias("_hot"), F.col("first").alias("_first"),
-                width.alias("_width"))
-    )
+    return stats.select(
+        F.col("_acct").alias("_hot"), F.col("first").alias("_first"), width.alias("_width"))
 
 
 def velocity(
@@ -101,11 +100,10 @@ def velocity(
     """
     if hot is None:
         hot = hot_accounts(df, account, ts, hot_rows)
-    # Bounded: hot_accounts() returns at most HOT_LIST rows.
-    keyed = df.withColumns(_keys(account, ts)).join(
-        F.broadcast(hot), F.col("_acct") == F.col("_hot"), "left")
+    keyed = df.withColumns(_keys(account, ts)).join(hot, F.col("_acct") == F.col("_hot"), "left")
 
-    payload = F.struct(*[F.col(c) for c in df.columns])
+    # The row's columns stay at top level, so that those nobody reads are pruned before the
+    # shuffle; only the entry mark carries them.
     marks = keyed.select(
         "_acct", "_hot", "_first", "_width",
         F.xxhash64(txn_id).alias("_spread"),
@@ -113,7 +111,7 @@ def velocity(
             F.when(F.col("_acct").isNull(), F.slice(_marks(F.col(amount), F.col("_at")), 1, 1))
             .otherwise(_marks(F.col(amount), F.col("_at")))
         ).alias("m"),
-        payload.alias("_row"),
+        *df.columns,
     ).select(
         "_acct",
         F.col("_hot").isNotNull().alias("_is_hot"),
@@ -121,34 +119,34 @@ def velocity(
         .when(F.col("_hot").isNull(), F.lit(0))
         .otherwise(F.floor((F.col("m.at") - F.col("_first")) / F.col("_width")))
         .cast("bigint").alias("_slice"),
-        "m.*",
-        F.when(F.col("m.is_row"), F.col("_row")).alias("_row"),
+        *[F.col("m")[c].alias(f"_m_{c}") for c in ("at", "is_row", "c1", "c24", "a1", "a24")],
+        *[F.when(F.col("m.is_row"), F.col(c)).alias(c) for c in df.columns],
     )
 
     carried = _carry(marks)
     marks = marks.join(carried, ["_acct", "_slice"], "left")
     w = (
-        Window.partitionBy("_acct", "_slice").orderBy("at")
+        Window.partitionBy("_acct", "_slice").orderBy("_m_at")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
 
     def running(name):
-        return F.sum(name).over(w) + F.coalesce(F.col(f"_{name}"), F.lit(0))
+        return F.sum(f"_m_{name}").over(w) + F.coalesce(F.col(f"_{name}"), F.lit(0))
 
     out = marks.select(
-        "_acct", "is_row", "_row",
-        *[running(n).alias(n) for n in ("c1", "c24", "a1", "a24")],
-    ).filter("is_row")
-    own = F.coalesce(F.col(f"_row.{amount}").cast(_SUM), F.lit(0).cast(_SUM))
+        "_acct", "_m_is_row", *df.columns,
+        *[running(n).alias(f"_r_{n}") for n in ("c1", "c24", "a1", "a24")],
+    ).filter("_m_is_row")
+    own = F.coalesce(F.col(amount).cast(_SUM), F.lit(0).cast(_SUM))
     alone = F.col("_acct").isNull()
     return out.select(
-        *[F.col("_row")[c].alias(c) for c in df.columns],
-        F.when(alone, 1).otherwise(F.col("c1")).cast("int").alias(FIGURES[0]),
-        F.when(alone, 1).otherwise(F.col("c24")).cast("int").alias(FIGURES[1]),
-        F.when(alone, own).otherwise(F.col("a1")).cast("decimal(18,2)").alias(FIGURES[2]),
-        F.when(alone, own).otherwise(F.col("a24")).cast("decimal(18,2)").alias(FIGURES[3]),
+        *df.columns,
+        F.when(alone, 1).otherwise(F.col("_r_c1")).cast("int").alias(FIGURES[0]),
+        F.when(alone, 1).otherwise(F.col("_r_c24")).cast("int").alias(FIGURES[1]),
+        F.when(alone, own).otherwise(F.col("_r_a1")).cast("decimal(18,2)").alias(FIGURES[2]),
+        F.when(alone, own).otherwise(F.col("_r_a24")).cast("decimal(18,2)").alias(FIGURES[3]),
         F.when(alone, own)
-        .otherwise(F.round(F.col("a24").cast("decimal(24,2)") / F.col("c24"), 2))
+        .otherwise(F.round(F.col("_r_a24").cast("decimal(24,2)") / F.col("_r_c24"), 2))
         .cast("decimal(18,2)").alias(FIGURES[4]),
     )
 
@@ -158,7 +156,7 @@ def _carry(marks: DataFrame) -> DataFrame:
     totals = (
         marks.filter("_is_hot")
         .groupBy("_acct", "_slice")
-        .agg(*[F.sum(n).alias(n) for n in ("c1", "c24", "a1", "a24")])
+        .agg(*[F.sum(f"_m_{n}").alias(n) for n in ("c1", "c24", "a1", "a24")])
     )
     before = (
         Window.partitionBy("_acct").orderBy("_slice")
@@ -175,8 +173,11 @@ def velocity_of_batch(batch: DataFrame, history: DataFrame, **names) -> DataFram
 
     ``history`` holds earlier rows (account, time, amount and id are enough). Only the last
     24 h of the batch's accounts are used. Rows of the batch replace stored rows of the same
-    transaction, so an update or a replay is counted once.
+    transaction; of several stored rows the one with the largest ``version`` counts, where
+    ``history`` has that column. So an update or a replay is counted once.
     """
+    if "version" in history.columns:
+        history = latest_per_key(history, names.get("txn_id", "transaction_id"), [F.col("version").desc_nulls_last()])
     account = names.get("account", "account_number")
     ts = names.get("ts", "transaction_date")
     amount = names.get("amount", "amount")

@@ -64,11 +64,12 @@ def customer_risk_trend(detection: DataFrame, customer: DataFrame, dates: DataFr
     daily = detection.groupBy("customer_key", F.col("detection_date_key").alias("date_key")).agg(
         F.count("*").alias("n"), F.sum(F.col("fraud_score").cast(_SCORE)).alias("total"),
         F.max("fraud_score").alias("top"))
-    per = daily.join(dates.select("date_key", start), "date_key", "inner").groupBy(
+    per = daily.join(dates.select("date_key", start), "date_key", "left").groupBy(
         "customer_key", F.col(start).alias("period_start")).agg(
         F.sum("n").alias("n_scored"), F.sum("total").alias("total"), F.max("top").alias("max_score"))
     per = per.withColumn("avg_score", F.round(F.col("total").cast("double") / F.col("n_scored"), 6))
-    w = Window.partitionBy("customer_key").orderBy("period_start")
+    # Scores without a date, or with one outside the calendar, are a period of their own (NULL).
+    w = Window.partitionBy("customer_key", F.col("period_start").isNull()).orderBy("period_start")
     trend = per.withColumn("previous_avg_score", F.lag("avg_score").over(w))
     names = customer.select("customer_key", "customer_id", "customer_segment")
     return trend.join(names, "customer_key", "left").select(
@@ -82,7 +83,7 @@ def alert_sla(alert: DataFrame, employee: DataFrame, dates: DataFrame,
     """Resolved alerts within the agreed minutes, per analyst and month."""
     minutes = F.col("resolution_minutes")
     resolved = alert.filter(minutes.isNotNull()).join(
-        dates.select(F.col("date_key").alias("alert_date_key"), "year", "month"), "alert_date_key")
+        dates.select(F.col("date_key").alias("alert_date_key"), "year", "month"), "alert_date_key", "left")
     counted = resolved.groupBy("employee_key", "year", "month").agg(
         F.count("*").alias("n_resolved"),
         _count_if(minutes <= sla_minutes).alias("n_within_sla"),
@@ -154,17 +155,17 @@ def balance_anomalies(snapshot: DataFrame, account: DataFrame, dates: DataFrame,
 def fraud_hotspots(fact_txn: DataFrame, atm: DataFrame, merchant: DataFrame,
                    top: int = 20) -> DataFrame:
     """Cities with the most confirmed fraud at ATMs and merchants."""
-    fraud = _count_if(F.col("is_fraud_confirmed"))
-    parts = []
-    for kind, key, dim in (("ATM", "atm_key", atm), ("MERCHANT", "merchant_key", merchant)):
-        per_place = fact_txn.filter(F.col(key) != "-1").groupBy(key).agg(
-            F.count("*").alias("n"), fraud.alias("bad"))
-        places = dim.select(key, F.col("city").alias("place_city"), F.col("country").alias("place_country"))
-        parts.append(
-            per_place.join(places, key, "inner")
-            .groupBy(F.lit(kind).alias("place_kind"), "place_city", "place_country")
-            .agg(F.sum("n").alias("n_transactions"), F.sum("bad").alias("n_fraud")))
-    both = parts[0].unionByName(parts[1]).filter("n_fraud > 0")
+    links = [("ATM", "atm_key", atm), ("MERCHANT", "merchant_key", merchant)]
+    used = F.array(*[F.struct(F.lit(kind).alias("place_kind"), F.col(key).alias("place_key")) for kind, key, _ in links])
+    # One pass over the facts: each row counts for its ATM and for its merchant.
+    per_place = fact_txn.select("is_fraud_confirmed", F.inline(used)).filter(F.col("place_key") != "-1").groupBy(
+        "place_kind", "place_key").agg(F.count("*").alias("n"), _count_if(F.col("is_fraud_confirmed")).alias("bad"))
+    places = [dim.select(F.lit(kind).alias("place_kind"), F.col(key).alias("place_key"),
+                         F.col("city").alias("place_city"), F.col("country").alias("place_country"))
+              for kind, key, dim in links]
+    both = per_place.join(places[0].unionByName(places[1]), ["place_kind", "place_key"]).groupBy(
+        "place_kind", "place_city", "place_country").agg(
+        F.sum("n").alias("n_transactions"), F.sum("bad").alias("n_fraud")).filter("n_fraud > 0")
     both = both.withColumn("fraud_rate", _share(F.col("n_fraud"), F.col("n_transactions")))
     return both.orderBy(F.col("n_fraud").desc(), F.col("fraud_rate").desc(), "place_kind",
                         "place_city", "place_country").limit(top)
@@ -178,7 +179,7 @@ def score_drift(detection: DataFrame, model: DataFrame, dates: DataFrame, bins:
     counts = (
         detection.groupBy("model_key", F.col("detection_date_key").alias("date_key"), b.alias("bin"))
         .agg(F.count("*").alias("n"))
-        .join(dates.select("date_key", F.col(start).alias("period_start")), "date_key", "inner")
+        .join(dates.select("date_key", F.col(start).alias("period_start")), "date_key", "left")
         .groupBy("model_key", "period_start", "bin").agg(F.sum("n").alias("n"))
     )
     # From here on there are at most models x periods x bins rows.
@@ -188,7 +189,7 @@ def score_drift(detection: DataFrame, model: DataFrame, dates: DataFrame, bins:
     share = F.greatest(F.coalesce(F.col("hist")[F.col("bin")], F.lit(0)).cast("double")
                        / F.col("n_scored"), F.lit(floor))
     dense = per.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).withColumn("p", share)
-    w = Window.partitionBy("model_key", "bin").orderBy("period_start")
+    w = Window.partitionBy("model_key", "bin").orderBy(F.asc_nulls_last("period_start"))
     psi = dense.withColumn("q", F.first("p").over(w)).groupBy(
         "model_key", "period_start", "n_scored").agg(
         F.round(F.sum((F.col("p") - F.col("q")) * F.log(F.col("p") / F.col("q"))), 6).alias("psi"))

@@ -135,10 +135,12 @@ class Bank:
 
     @cached_property
     def dates(self) -> DataFrame:
-        """From the first event to the end of the month of ``as_of``."""
-        first = F.to_date(F.min("ts"))
-        last = F.last_day(F.lit(self.as_of).cast("date"))
-        return D.dim_date(self.table("events").agg(first.alias("first_day"), F.min(last).alias("last_day")))
+        """From the first event to the end of the month of ``as_of`` or, if later, the day after the
+        last event, when it may still be scored."""
+        first, last = F.to_date(F.min("ts")), F.date_add(F.to_date(F.max("ts")), 1)
+        month_end = F.last_day(F.lit(self.as_of).cast("date"))
+        return D.dim_date(self.table("events").agg(
+            first.alias("first_day"), F.greatest(last, F.min(month_end)).alias("last_day")))
 
     @cached_property
     def realtime_source(self) -> DataFrame:

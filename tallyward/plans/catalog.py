@@ -72,6 +72,10 @@ def load_summary(b: Bank) -> DataFrame:
     return _union([R.load_summary(b.raw(n), n, BATCH_MODELS[n][0], "_BATCH_ID") for n in BATCH_COLUMNS])
 
 
+def load_totals(b: Bank) -> DataFrame:
+    return R.load_totals(load_summary(b))
+
+
 def etl_metadata(b: Bank) -> DataFrame:
     source = b.raw("transaction").select("TransactionID", "AccountNumber", "Amount", "Channel", "_LOAD_TS")
     return K2.with_etl_metadata(source.withColumnRenamed("_LOAD_TS", "SentAt"), "B9", "CORE", A.NOW)
@@ -86,6 +90,28 @@ def merge_upsert(b: Bank) -> DataFrame:
     return K2.merge_upsert(b.batch_source.select(*columns), b.realtime_source.select(*columns), "transaction_id")
 
 
+def merge_keeps_labels(b: Bank) -> DataFrame:
+    """A labelled fact table, merged with newer rows of all its transactions that bring no labels."""
+    newer = b.fact_transaction.withColumn("amount", (F.col("amount") * 2).cast("decimal(18,2)"))
+    merged = K2.merge_upsert(b.fact_labelled, newer, "transaction_id", FT.LABELS)
+    return merged.select("transaction_id", "amount", *FT.LABELS)
+
+
+def scd2_three_loads(b: Bank) -> DataFrame:
+    """Customers loaded, changed and changed back: no two versions share a key."""
+    def load(batch: str, day: str) -> DataFrame:
+        staged = b.stg("customer", batch).select("customer_id", "city", "scd2_hash")
+        day_ = F.lit(day).cast("date")
+        return staged.withColumn("customer_key", K.surrogate_key("customer_id", "scd2_hash", day_))
+
+    dim = load("B1", "2023-12-31").withColumns({
+        "effective_date": F.lit("2023-12-31").cast("date"), "expiry_date": F.lit(None).cast("date"),
+        "is_current": F.lit(True)})
+    for batch, day in (("B2", "2024-01-15"), ("B1", "2024-01-31")):
+        dim = S2.scd2_apply(dim, load(batch, day), "customer_id", day)
+    return dim
+
+
 def register_model(b: Bank) -> DataFrame:
     row = TR.registry_row(b.spark, "tally-rules", "v3", "Rules", A.AS_OF, 0.5, 0, {"auc_roc": 0.5})
     out = K2.register_model(b.model, row)
@@ -413,6 +439,9 @@ def _loans(b: Bank) -> DataFrame:
 QUERIES = {
     "load_raw_transaction": load_raw_transaction,
     "load_summary": load_summary,
+    "load_totals": load_totals,
+    "merge_keeps_labels": merge_keeps_labels,
+    "scd2_three_loads": scd2_three_loads,
     "labelled_transactions": lambda b: R.labels(b.fact_labelled),
     "detections_split": detections_split,
     "etl_metadata": etl_metadata,

@@ -1,4 +1,6 @@
-"""Dimension tables. Type 1 are rebuilt; customer, account and employee carry Type-2 columns."""
+"""Dimension tables. Type 1 are rebuilt; customer, account and employee carry Type-2 columns.
+
+A version's key includes its first day, so values that come back later get a key of their own."""
 
 from __future__ import annotations
 
@@ -51,7 +53,7 @@ def dim_employee(stg: DataFrame, department: DataFrame, branch: DataFrame, as_of
     df = _with_parent(stg, department, "department_id", "department_key")
     df = _versioned(_with_parent(df, branch, "branch_id", "branch_key"), as_of)
     return with_audit(df.select(
-        _first_key("employee_key", "employee_id", "scd2_hash"), "employee_id", "first_name",
+        _first_key("employee_key", "employee_id", "scd2_hash", "effective_date"), "employee_id", "first_name",
         "last_name", "full_name", "email", "phone_number", "date_of_birth", "hire_date",
         "position", "salary", "department_key", "branch_key",
         F.col("supervisor_id").alias("supervisor_key"), "scd2_hash",
@@ -92,7 +94,7 @@ def dim_customer(stg: DataFrame, phones: DataFrame | None, as_of: str, now: str)
         df = stg.join(primary_phones(phones), "customer_id", "left")
     df = _versioned(df, as_of)
     return with_audit(df.select(
-        _first_key("customer_key", "customer_id", "scd2_hash"), "customer_id", "first_name",
+        _first_key("customer_key", "customer_id", "scd2_hash", "effective_date"), "customer_id", "first_name",
         "last_name", "full_name", "email", "date_of_birth",
         age_band("date_of_birth", F.lit(as_of).cast("date")).alias("age_band"),
         "gender", "marital_status", "occupation", "street_address", "city", "state", "country",
@@ -105,7 +107,7 @@ def dim_account(stg: DataFrame, customer: DataFrame, branch: DataFrame, as_of: s
     df = _with_parent(stg, current(customer), "customer_id", "customer_key")
     df = _versioned(_with_parent(df, branch, "branch_id", "branch_key"), as_of)
     return with_audit(df.select(
-        _first_key("account_key", "account_number", "scd2_hash"), "account_number",
+        _first_key("account_key", "account_number", "scd2_hash", "effective_date"), "account_number",
         "customer_key", "branch_key", "account_type", "account_status", "currency", "open_date",
         "last_activity_date", "interest_rate", "minimum_balance", "overdraft_limit",
         "scd2_hash", "effective_date", "expiry_date", "is_current"), now)

@@ -80,6 +80,16 @@ def fact_transaction(sources: DataFrame, dims: dict[str, DataFrame], now: str) -
         F.col("transaction_date").alias("transaction_timestamp")), now)
 
 
+# Columns that only analysts fill; merges keep them.
+LABELS = ("is_fraud_confirmed", "fraud_label_date_key", "fraud_label_source")
+
+
+def one_decision(decisions: DataFrame) -> DataFrame:
+    """The last decision of each transaction: a decided one before an open one, the longest review first."""
+    return latest_per_key(decisions, "transaction_id", [
+        F.col("is_confirmed_fraud").isNull(), F.col("resolution_minutes").desc_nulls_last()])
+
+
 def latest_detection(stg_detection: DataFrame, key=("transaction_id",)) -> DataFrame:
     return latest_per_key(stg_detection, list(key),
                           [F.col("processing_timestamp").desc_nulls_last()])
@@ -171,7 +181,7 @@ def fact_fraud_alert(detections: DataFrame, decisions: DataFrame, employee: Data
     """
     alerts = detections.filter(F.col("fraud_score") >= review_from)
     staff = current(employee).select(F.col("employee_id").alias("analyst_id"), "employee_key")
-    df = alerts.join(decisions, "transaction_id", "left").join(staff, "analyst_id", "left")
+    df = alerts.join(one_decision(decisions), "transaction_id", "left").join(staff, "analyst_id", "left")
     return with_audit(df.select(
         surrogate_key("transaction_id", "model_key").alias("alert_key"), "transaction_id",
         "transaction_fact_key", "customer_key", "account_key", "model_key",
@@ -185,7 +195,7 @@ def fact_fraud_alert(detections: DataFrame, decisions: DataFrame, employee: Data
 def label_writeback(fact_txn: DataFrame, decisions: DataFrame, label_day: str,
                     source: str) -> DataFrame:
     """Fill the label columns from decided reviews; other rows keep what they have."""
-    decided = decisions.filter(F.col("is_confirmed_fraud").isNotNull()).select(
+    decided = one_decision(decisions).filter(F.col("is_confirmed_fraud").isNotNull()).select(
         "transaction_id", F.col("is_confirmed_fraud").alias("_label"))
     df = fact_txn.join(decided, "transaction_id", "left")
     has = F.col("_label").isNotNull()

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyward.functions.parsing import parse_datetime
 from tallyward.ml.iforest import train_iforest
 from tallyward.ml.metrics import auc_roc, classification_report, label_count
 from tallyward.ml.training import (
@@ -29,9 +31,10 @@ from tallyward.sources.raw import (
     Reader, extract_all, labels, load_new_files, load_raw,
 )
 from tallyward.sources.sinks import (
-    _exists, build, merge_into, overwrite, register_model,
+    _exists, build, current_path, merge_into, merge_upsert, overwrite, publish, register_model,
 )
 
+OVERLAP = timedelta(hours=1)
 _TYPE2_KEYS = {"employee": "employee_id", "customer": "customer_id", "account": "account_number"}
 
 
@@ -47,9 +50,13 @@ class Warehouse:
     reader: Reader | None = None
     model_id: ModelId = field(default_factory=ModelId)
 
-    def path(self, name: str) -> str:
+    def base(self, name: str) -> str:
         return f"{self.root}/dwh/{name}"
 
+    def path(self, name: str) -> str:
+        """Where the table's current version lies."""
+        return current_path(self.spark, self.base(name))
+
     def has(self, name: str) -> bool:
         return _exists(self.spark, self.path(name))
 
@@ -60,6 +67,10 @@ class Warehouse:
         overwrite(df, self.path(name))
         return self.read(name)
 
+    def publish(self, name: str, df: DataFrame) -> DataFrame:
+        publish(df, self.base(name))
+        return self.read(name)
+
     def raw(self, table: str) -> DataFrame:
         return load_raw(self.spark, f"{self.root}/batch/raw/{table}/batch_{self.batch_id}",
                         RAW_SCHEMAS[table])
@@ -80,19 +91,17 @@ def _apply_versions(w: Warehouse, name: str, fresh: DataFrame) -> DataFrame:
     """
     path = f"dim_{name}"
     if not w.has(path):
-        return w.keep(path, fresh)
+        return w.publish(path, fresh)
     after = scd2_apply(w.read(path), fresh.drop("effective_date", "expiry_date", "is_current"),
                        _TYPE2_KEYS[name], w.as_of)
-    side = w.keep(f"{path}__next", after)
-    overwrite(side, w.path(path))
-    return w.read(path)
+    return w.publish(path, after)
 
 
 def _build_dimensions(w: Warehouse, staged: dict[str, DataFrame], rebuild: bool) -> dict[str, DataFrame]:
     def keep(name: str, df: DataFrame) -> DataFrame:
         short = name.removeprefix("dim_")
-        if short in TYPE2 and not rebuild:
-            return _apply_versions(w, short, df)
+        if short in TYPE2:
+            return w.publish(name, df) if rebuild else _apply_versions(w, short, df)
         return w.keep(name, df)
 
     return dimensions(lambda n: staged[n], w.as_of, w.now, keep=keep)
@@ -105,17 +114,43 @@ def _realtime(w: Warehouse, name: str) -> DataFrame:
     return load_raw(w.spark, folder, RAW_SCHEMAS[name])
 
 
+def _new_realtime(w: Warehouse, name: str, fact: str, full_refresh: bool) -> DataFrame:
+    """Stored stream rows, only those scored after the newest one merged unless all are wanted.
+
+    The mark is kept per source by _remember(), after the merge. Rows scored within OVERLAP
+    before it are merged again: merging twice changes nothing, missing a row would.
+    """
+    rows = _realtime(w, name)
+    mark = f"merged_{fact}"
+    if full_refresh or not w.has(mark):
+        return rows
+    newest = w.read(mark).first()[0]  # one row
+    if newest is None:
+        return rows
+    return rows.filter(F.coalesce(parse_datetime("processing_timestamp") >= F.lit(newest - OVERLAP), F.lit(True)))
+
+
+def _remember(w: Warehouse, name: str, fact: str) -> None:
+    newest = _realtime(w, name).agg(F.max(parse_datetime("processing_timestamp")).alias("newest"))
+    w.publish(f"merged_{fact}", newest)
+
+
 def _build_facts(w: Warehouse, staged, dims, full_refresh: bool) -> dict[str, DataFrame]:
-    stream = ST.stage_realtime_transaction(_realtime(w, "realtime_transaction"))
+    stream = ST.stage_realtime_transaction(
+        _new_realtime(w, "realtime_transaction", "fact_transaction", full_refresh))
     detection = ST.stage_realtime_detection(_realtime(w, "realtime_fraud_detection"))
+    fresh = ST.stage_realtime_detection(
+        _new_realtime(w, "realtime_fraud_detection", "fact_fraud_detection", full_refresh))
     registry = w.read("model_registry") if w.has("model_registry") else None
-    model = w.keep("dim_fraud_model", dim_fraud_model(detection, registry, w.now))
+    model = w.publish("dim_fraud_model", dim_fraud_model(detection, registry, w.now))
     sources = FT.union_sources(
         FT.realtime_source(stream), FT.batch_source(staged["transaction"], staged["account"]))
     build(FT.fact_transaction(sources, dims, w.now), w.path("fact_transaction"),
-          "transaction_id", "date_key", full_refresh)
-    build(FT.fact_fraud_detection(detection, w.read("fact_transaction"), model, w.now),
+          "transaction_id", "date_key", full_refresh, FT.LABELS)
+    build(FT.fact_fraud_detection(fresh, w.read("fact_transaction"), model, w.now),
           w.path("fact_fraud_detection"), "transaction_id", "detection_date_key", full_refresh)
+    for name in ("realtime_transaction", "realtime_fraud_detection"):
+        _remember(w, name, "fact_transaction" if name == "realtime_transaction" else "fact_fraud_detection")
     snapshots = {
         "fact_account_balance_snapshot": FT.fact_account_balance_snapshot(
             staged["account"], staged["transaction"], dims["customer"], dims["account"], w.as_of, w.now),
@@ -163,13 +198,15 @@ def realtime_refresh(w: Warehouse) -> dict[str, DataFrame]:
     def merge_transactions(rows: DataFrame, _: int) -> None:
         staged = ST.stage_realtime_transaction(with_source_columns(rows))
         fact = FT.fact_transaction(FT.realtime_source(staged), dims, w.now)
-        merge_into(fact, w.path("fact_transaction"), "transaction_id", "date_key")
+        merge_into(fact, w.path("fact_transaction"), "transaction_id", "date_key", FT.LABELS)
 
     def merge_detections(rows: DataFrame, _: int) -> None:
         staged = ST.stage_realtime_detection(with_source_columns(rows))
         registry = spark.read.parquet(w.path("model_registry")) if w.has("model_registry") else None
-        everything = ST.stage_realtime_detection(_realtime(w, "realtime_fraud_detection"))
-        model = w.keep("dim_fraud_model", dim_fraud_model(everything, registry, w.now))
+        model = dim_fraud_model(staged, registry, w.now)
+        if w.has("dim_fraud_model"):  # the models of this batch, merged into those known
+            model = merge_upsert(w.read("dim_fraud_model"), model, "model_key")
+        model = w.publish("dim_fraud_model", model)
         fact = FT.fact_fraud_detection(staged, w.read("fact_transaction"), model, w.now)
         merge_into(fact, w.path("fact_fraud_detection"), "transaction_id", "detection_date_key")
 
@@ -233,8 +270,7 @@ def retrain(w: Warehouse, mode: str = "auto", min_labels: int = MIN_LABELS, tree
     if w.has("model_registry"):
         others = w.read("model_registry").filter(
             ~((F.col("model_name") == w.model_id.name) & (F.col("model_version") == w.model_id.version)))
-        side = w.keep("model_registry__next", register_model(others, row))
-        overwrite(side, w.path("model_registry"))
+        w.publish("model_registry", register_model(others, row))
     else:
-        overwrite(row, w.path("model_registry"))
+        w.publish("model_registry", row)
     return mode, model, metrics

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from tallyward.operators.quality import Check, accepted_values, column_checks, relationships
+from tallyward.operators.quality import Check, accepted_values, column_report, relationships
 from tallyward.plans import dims as D
 
 TYPE1 = ("branch", "department", "transaction_type", "merchant", "atm", "card")
@@ -40,7 +40,7 @@ def dimensions(stg: Callable[[str], DataFrame], as_of: str, now: str,
 _BOTH = ("not_null", "unique")
 _FILLED = ("not_null",)
 
-# The column tests of every model.
+# The column tests of every model.
 MODEL_TESTS = {
     "stg_branch": {"branch_id": _BOTH},
     "stg_department": {"department_id": _BOTH},
@@ -86,12 +86,12 @@ FOREIGN_KEYS = [
 ]
 
 
-def warehouse_checks(models: dict[str, DataFrame]) -> list[Check]:
+def warehouse_checks(models: dict[str, DataFrame]) -> list[Check | DataFrame]:
     """Every declared test whose model is present."""
-    checks: list[Check] = []
+    checks: list[Check | DataFrame] = []
     for name, columns in MODEL_TESTS.items():
         if name in models:
-            checks += column_checks(name, models[name], columns)
+            checks.append(column_report(name, models[name], columns))
     for name, column, values in ACCEPTED:
         if name in models:
             checks.append(Check(name, column, "accepted_values",

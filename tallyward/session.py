@@ -48,13 +48,16 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is named."""
+    """The shared checkpoint folder. A local session without one gets a temporary folder; on a
+    cluster that would be a different disk for every executor, so one must be named there."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tallyward-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -64,10 +64,10 @@ def extract_all(spark: SparkSession, reader: Reader, root: str, batch_id: str, l
 
 
 def load_raw(spark: SparkSession, path: str, schema: T.StructType,
-             on_error: str = "continue") -> DataFrame:
+             on_error: str = "fail") -> DataFrame:
     """RAW Parquet by column name: case does not matter, missing columns are NULL.
 
-    With ``on_error="continue"`` unreadable files are skipped.
+    With ``on_error="continue"`` unreadable files are skipped; skipped_files() names them.
     """
     return (
         spark.read.schema(schema)
@@ -77,6 +77,14 @@ def load_raw(spark: SparkSession, path: str, schema: T.StructType,
     )
 
 
+def skipped_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Files below ``path`` that a load with ``on_error="continue"`` takes no row from."""
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+              .select(F.col("_metadata.file_path").alias("file")))
+    read = load_raw(spark, path, schema, "continue").select(F.col("_metadata.file_path").alias("file")).distinct()
+    return listed.join(read, "file", "left_anti")
+
+
 def load_new_files(spark: SparkSession, path: str, schema: T.StructType, checkpoint: str,
                    sink: Callable[[DataFrame, int], None], glob: str = "*.parquet") -> None:
     """Run ``sink(new_rows, batch_number)`` over files not seen by this checkpoint yet."""
@@ -91,10 +99,6 @@ def load_new_files(spark: SparkSession, path: str, schema: T.StructType, checkpo
     query.awaitTermination()
 
 
-def with_source_file(df: DataFrame) -> DataFrame:
-    return df.withColumn("_SOURCE_FILE", F.col("_metadata.file_path"))
-
-
 def load_summary(df: DataFrame, table: str, key: str, unit: str = "_SOURCE_FILE") -> DataFrame:
     """Units (files or loads), rows, rows with a blank key, and a status, for one table."""
     per_unit = df.groupBy(unit).agg(
@@ -113,6 +117,15 @@ def load_summary(df: DataFrame, table: str, key: str, unit: str = "_SOURCE_FILE"
                         status.alias("status"))
 
 
+def load_totals(summaries: DataFrame) -> DataFrame:
+    """All tables of a load together: tables, rows, blank keys, and the names of those that failed."""
+    failed = F.sort_array(F.collect_list(F.when(F.col("status") == "FAILED", F.col("table_name"))))
+    return summaries.agg(
+        F.count("*").alias("n_tables"), F.sum("n_rows").alias("n_rows"), F.sum("n_errors").alias("n_errors"),
+        F.sum((F.col("status") == "FAILED").cast("int")).alias("n_failed"),
+        F.array_join(failed, ",").alias("failed_tables"))
+
+
 def labels(fact_transaction: DataFrame) -> DataFrame:
     """Labelled transactions as 0/1."""
     return fact_transaction.filter(F.col("is_fraud_confirmed").isNotNull()).select(

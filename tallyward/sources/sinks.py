@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,15 +40,14 @@ def write_raw(df: DataFrame, root: str, table: str, batch_id: str,
     return path
 
 
-def write_lake(df: DataFrame, path: str, batch_ts: str, batch_id) -> str:
-    """Write a micro-batch below its own folder, by write date and hour.
+def write_lake(df: DataFrame, path: str, batch_ts: str, batch_id, run: str = "0") -> str:
+    """Write a micro-batch below the folders of its date and hour, run and number.
 
-    The folder is named after the micro-batch, so a replay replaces instead of repeating.
+    Dates are outermost, so a reader lists only the days it wants. A replay that brings the same
+    ``batch_ts`` replaces what it wrote; another run (checkpoint) never does.
     """
-    at = F.lit(batch_ts).cast("timestamp")
-    out = df.withColumns({"dt": F.date_format(at, "yyyy-MM-dd"), "hr": F.date_format(at, "HH")})
-    target = f"{path}/mb={batch_id}"
-    out.write.mode("overwrite").option("compression", "snappy").partitionBy("dt", "hr").parquet(target)
+    target = f"{path}/dt={batch_ts[:10]}/hr={batch_ts[11:13]}/run={run}/mb={batch_id}"
+    df.write.mode("overwrite").option("compression", "snappy").parquet(target)
     return target
 
 
@@ -57,13 +58,26 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     writer.parquet(path)
 
 
-def merge_upsert(target: DataFrame, updates: DataFrame, key) -> DataFrame:
-    """Target rows without a matching update, plus all updates."""
+def merge_upsert(target: DataFrame, updates: DataFrame, key, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Target rows without a matching update, plus all updates.
+
+    An update takes the stored value of the ``keep`` columns where it has none itself.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     kept = target.join(updates.select(*keys), keys, "left_anti")
+    if keep:
+        stored = target.select(*keys, *[F.col(c).alias(f"_stored_{c}") for c in keep])
+        updates = updates.join(stored, keys, "left").select(*[
+            F.coalesce(c, f"_stored_{c}").alias(c) if c in keep else F.col(c) for c in updates.columns])
     return kept.unionByName(updates)
 
 
+def in_partitions(df: DataFrame, partition: str, values: list) -> DataFrame:
+    """Rows of the named partitions; None names the partition of NULL."""
+    here = F.col(partition).isin([v for v in values if v is not None])
+    return df.filter(here | F.col(partition).isNull() if None in values else here)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
@@ -74,13 +88,15 @@ def _drop_folder(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-def merge_into(updates: DataFrame, path: str, key: str, partition: str) -> None:
+def merge_into(updates: DataFrame, path: str, key: str, partition: str,
+               keep: tuple[str, ...] = ()) -> None:
     """Merge ``updates`` into the Parquet table at ``path``, rewriting only touched partitions.
 
     Touched are the partitions the updates go to and those that hold an older version of
     their rows; those are found by a scan of the key column alone. The merged partitions are
     first written beside the table, then swapped in, so the table is never read while it is
-    overwritten. Running the same merge again gives the same table.
+    overwritten. Running the same merge again gives the same table. ``keep`` columns of
+    stored rows survive updates that leave them NULL.
     """
     spark = updates.sparkSession
     if not _exists(spark, path):
@@ -90,8 +106,8 @@ def merge_into(updates: DataFrame, path: str, key: str, partition: str) -> None:
     old = target.select(key, partition).join(updates.select(key), key, "left_semi").select(partition)
     # Partition values, not rows: as many as the table has days.
     touched = [r[0] for r in old.union(updates.select(partition)).distinct().collect()]
-    here = F.col(partition).isin(touched)
-    merged = merge_upsert(target.filter(here), updates.select(*target.columns), key)
+    merged = merge_upsert(in_partitions(target, partition, touched),
+                          updates.select(*target.columns), key, keep)
 
     side = f"{path.rstrip('/')}__merge"
     overwrite(merged, side, [partition])
@@ -100,17 +116,53 @@ def merge_into(updates: DataFrame, path: str, key: str, partition: str) -> None:
      .partitionBy(partition).parquet(path))
     filled = {r[0] for r in ready.select(partition).distinct().collect()}
     for value in set(touched) - filled:
-        _drop_folder(spark, f"{path}/{partition}={value}")
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        _drop_folder(spark, f"{path}/{partition}={name}")
     _drop_folder(spark, side)
     spark.catalog.refreshByPath(path)
 
 
-def build(df: DataFrame, path: str, key: str, partition: str, full_refresh: bool) -> None:
+def build(df: DataFrame, path: str, key: str, partition: str, full_refresh: bool,
+          keep: tuple[str, ...] = ()) -> None:
     """Rebuild the table or merge into it."""
     if full_refresh:
         overwrite(df, path, [partition])
     else:
-        merge_into(df, path, key, partition)
+        merge_into(df, path, key, partition, keep)
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Folder of a published table's newest version; ``path`` itself while there is none."""
+    for pointer in (f"{path}__current", f"{path}__retired"):  # retired: a switch was cut short
+        if _exists(spark, pointer):
+            return spark.read.text(pointer).first()[0]
+    return path
+
+
+def publish(df: DataFrame, path: str) -> str:
+    """Write a new version beside the old one, then switch the pointer. ``df`` may read the old
+    version; a failure at any point leaves one of the two in place. Older versions are dropped
+    at the next publication."""
+    spark = df.sparkSession
+    old = current_path(spark, path)
+    new = f"{path}__versions/{uuid.uuid4().hex}"
+    df.write.parquet(new)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    trial = f"{path}__pointer-{uuid.uuid4().hex}"
+    spark.createDataFrame([(new,)], "value string").coalesce(1).write.text(trial)
+    pointer = fs_path(f"{path}__current")
+    retired = fs_path(f"{path}__retired")
+    fs.delete(retired, True)
+    if fs.exists(pointer):
+        fs.rename(pointer, retired)
+    fs.rename(fs_path(trial), pointer)
+    folder = fs_path(f"{path}__versions")
+    for status in fs.listStatus(folder):  # two or three versions
+        held = status.getPath().getName()
+        if held not in (new.rsplit("/", 1)[1], old.rsplit("/", 1)[1]):
+            fs.delete(status.getPath(), True)
+    return new
 
 
 def register_model(registry: DataFrame, row: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.functions.parsing import number, parse_datetime
+from tallyward.functions.parsing import is_blank, number, parse_datetime
 from tallyward.ml.training import score
 from tallyward.operators.dedup import latest_per_key
 from tallyward.operators.enrich import enrich_account, enrich_customer, live_transactions
@@ -29,6 +29,7 @@ from tallyward.sources.raw import load_raw
 from tallyward.sources.sinks import _exists, stringify, write_lake
 
 LATE_AFTER = timedelta(minutes=10)
+CLOCK_SKEW = timedelta(days=2)
 Loader = Callable[[], DataFrame]
 
 
@@ -46,6 +47,7 @@ class StreamConfig:
     thresholds: Thresholds = DEFAULTS
     hot_rows: int = HOT_ROWS
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)
+    run: str = "0"  # one name for each checkpoint: micro-batches are numbered within it
 
     @property
     def transactions(self) -> str:
@@ -61,7 +63,10 @@ class StreamConfig:
 
 
 def drop_replays(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Drop exact repeats of a message that arrive within the watermark delay."""
+    """Drop exact repeats of a message that arrive within the watermark delay.
+
+    Only for sources whose rows are never later than that: a watermark drops what comes after it,
+    so start() does without."""
     at = F.coalesce(parse_datetime(F.get_json_object("value", "$.TransactionDate")),
                     F.lit("1970-01-01").cast("timestamp"))
     keyed = stream.withColumn("event_time", at)
@@ -69,21 +74,27 @@ def drop_replays(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
             .drop("event_time"))
 
 
-def stored_history(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+def stored_history(spark: SparkSession, path: str, batch_id: int, run: str = "0") -> DataFrame | None:
     """Stored rows of other micro-batches; a replayed batch never sees its own output."""
     if not _exists(spark, path):
         return None
     stored = T.StructType([*RAW_SCHEMAS["realtime_transaction"].fields,
-                           T.StructField("mb", T.LongType()), T.StructField("dt", T.DateType())])
-    return spark.read.schema(stored).parquet(path).filter(F.col("mb") != batch_id)
+                           T.StructField("dt", T.DateType()), T.StructField("run", T.StringType()),
+                           T.StructField("mb", T.LongType())])
+    own = (F.col("run") == run) & (F.col("mb") == batch_id)
+    return spark.read.schema(stored).parquet(path).filter(~own)
 
 
 def _typed_history(rows: DataFrame, first_day) -> DataFrame:
-    """The four columns the sliding figures need. Rows are written after they happen, so the
-    write-date folders before the window cannot hold rows of it."""
+    """What the sliding figures need, and when a row was scored: its version.
+
+    Folders are named by write date. A row may be written up to CLOCK_SKEW before its own event
+    time (a source's clock that is ahead), so as many more days are read.
+    """
     if first_day is not None:
-        rows = rows.filter(F.col("dt") >= F.lit(first_day))
+        rows = rows.filter(F.col("dt") >= F.lit(first_day - CLOCK_SKEW))
     return rows.select(
+        F.struct(parse_datetime("processing_timestamp"), "mb").alias("version"),
         F.col("TransactionID").alias("transaction_id"),
         F.col("AccountNumber").alias("account_number"),
         parse_datetime("TransactionDate").alias("transaction_date"),
@@ -108,19 +119,31 @@ def score_events(events: DataFrame, history: DataFrame | None, config: StreamCon
     return score(full, config.model, config.threshold)
 
 
+def batch_stamp(spark: SparkSession, config: StreamConfig, batch_id: int) -> str:
+    """When the micro-batch was first tried. A replay gets the same time, so the same folders."""
+    path = f"{config.lake}/realtime/stamps/run={config.run}/mb={batch_id}"
+    if _exists(spark, f"{path}/_SUCCESS"):
+        return spark.read.text(path).first()[0]
+    stamp = config.clock().strftime("%Y-%m-%d %H:%M:%S")
+    spark.createDataFrame([(stamp,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return stamp
+
+
 def process_batch(batch: DataFrame, batch_id: int, config: StreamConfig) -> None:
     """One micro-batch: both outputs go to folders named after it, so a replay overwrites."""
     started = monotonic()
     spark = batch.sparkSession
-    now = config.clock()
-    stamp = now.strftime("%Y-%m-%d %H:%M:%S")
+    stamp = batch_stamp(spark, config, batch_id)
     batch = batch.persist()
     try:
         good, bad = parse_cdc(batch)
-        write_lake(bad, config.quarantine, stamp, batch_id)
+        nameless = is_blank("TransactionID")  # no id: nothing to merge or score it by
+        bad = bad.unionByName(good.filter(nameless).select(F.to_json(F.struct(*good.columns)).alias("value")))
+        good = good.filter(~nameless)
+        write_lake(bad, config.quarantine, stamp, batch_id, config.run)
         at = parse_datetime("TransactionDate")
         span = good.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
-        history = stored_history(spark, config.transactions, batch_id)
+        history = stored_history(spark, config.transactions, batch_id, config.run)
         seen = span["last"]
         if history is not None:
             first_day = (span["first"] - timedelta(days=1)).date() if span["first"] else None
@@ -136,10 +159,8 @@ def process_batch(batch: DataFrame, batch_id: int, config: StreamConfig) -> None
         latency = (monotonic() - started) * 1000.0 / max(n, 1)
         scored_ms = scored.withColumn("inference_latency_ms", F.lit(round(latency, 3)))
         transactions, detections = split_streams(scored_ms, config.model_id)
-        flags = scored.select(F.col("transaction_id").alias("TransactionID"), "is_late")
-        transactions = transactions.join(flags, "TransactionID", "left")
-        write_lake(stringify(transactions), config.transactions, stamp, batch_id)
-        write_lake(stringify(detections), config.detections, stamp, batch_id)
+        write_lake(stringify(transactions), config.transactions, stamp, batch_id, config.run)
+        write_lake(stringify(detections), config.detections, stamp, batch_id, config.run)
         scored.unpersist()
     finally:
         batch.unpersist()
@@ -147,7 +168,8 @@ def process_batch(batch: DataFrame, batch_id: int, config: StreamConfig) -> None
 
 def start(stream: DataFrame, config: StreamConfig, checkpoint: str, trigger: dict | None = None):
     """Start the job. ``trigger`` holds writer trigger arguments, such as
-    ``{"processingTime": "60 seconds"}`` (default) or ``{"availableNow": True}``."""
+    ``{"processingTime": "60 seconds"}`` (default) or ``{"availableNow": True}``. Repeats
+    need no state: rows of one id collapse in process_batch() and against the stored rows."""
     return (
         stream.writeStream
         .foreachBatch(lambda df, batch_id: process_batch(df, batch_id, config))
@@ -157,14 +179,6 @@ def start(stream: DataFrame, config: StreamConfig, checkpoint: str, trigger: dic
     )
 
 
-def start_console(stream: DataFrame, checkpoint: str, trigger: dict | None = None):
-    """Print parsed, kept events instead of storing them."""
-    good, _ = parse_cdc(stream)
-    return (filter_ops(good).writeStream.format("console").option("truncate", "false")
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "60 seconds"})).start())
-
-
 def read_realtime(spark: SparkSession, lake: str, name: str) -> DataFrame:
     """Stored stream output as its RAW table."""
     return load_raw(spark, f"{lake}/{RAW_LOCATIONS[name]}", RAW_SCHEMAS[name])

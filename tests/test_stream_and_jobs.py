@@ -99,6 +99,30 @@ def test_late_rows_are_flagged(spark, bank, tmp_path):
     assert got == {"a": ("true", "1"), "b": ("false", "2"), "c": ("true", "2"), "d": ("false", "3")}
 
 
+def _event(i, t, amount="5"):
+    return (json.dumps({"TransactionID": i, "AccountNumber": "A1", "TransactionDate": t, "Amount": amount}),)
+
+
+def test_an_update_counts_once_over_three_batches(spark, bank, tmp_path):
+    cfg = config(spark, bank, str(tmp_path / "lake"))
+    for n, event in enumerate([_event("a", "2024-02-01T09:00:00"), _event("a", "2024-02-01T09:01:00", "7"),
+                               _event("c", "2024-02-01T09:02:00", "1")]):
+        ST.process_batch(spark.createDataFrame([event], "value string"), n, cfg)
+    c = spark.read.parquet(cfg.transactions).filter("TransactionID = 'c'").first()
+    assert (c["transactions_last_1h"], float(c["amount_last_1h"])) == ("2", 8.0)
+
+
+def test_events_without_id_are_quarantined_and_runs_kept_apart(spark, bank, tmp_path):
+    lake = str(tmp_path / "lake")
+    cfg = config(spark, bank, lake)
+    rows = [_event(None, "2024-02-01T09:00:00"), _event(" ", "2024-02-01T09:00:00"), _event("a", "2024-02-01T09:00:00")]
+    ST.process_batch(spark.createDataFrame(rows, "value string"), 0, cfg)
+    assert spark.read.parquet(cfg.quarantine).count() == 2
+    again = config(spark, bank, lake, run="1")
+    ST.process_batch(spark.createDataFrame([_event("b", "2024-02-01T09:01:00")], "value string"), 0, again)
+    assert {r[0] for r in spark.read.parquet(cfg.transactions).select("TransactionID").collect()} == {"a", "b"}
+
+
 def test_replays_are_dropped_in_stream(spark, tmp_path):
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
     line = json.dumps({"TransactionID": "a", "TransactionDate": "2024-02-01T09:00:00"})

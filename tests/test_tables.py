@@ -47,10 +47,10 @@ def test_load_raw_by_name_and_past_bad_files(spark, tmp_path):
     spark.range(3).selectExpr("concat('B', id) as branchid", "'x' as extra").write.parquet(path)
     with open(os.path.join(path, "broken.parquet"), "wb") as f:
         f.write(b"not parquet")
-    df = R.load_raw(spark, path, RAW_SCHEMAS["branch"])
+    df = R.load_raw(spark, path, RAW_SCHEMAS["branch"], on_error="continue")
     assert rows(df.select("BranchID", "City")) == [("B0", None), ("B1", None), ("B2", None)]
     with pytest.raises(Exception):
-        R.load_raw(spark, path, RAW_SCHEMAS["branch"], on_error="abort").collect()
+        R.load_raw(spark, path, RAW_SCHEMAS["branch"]).collect()
 
 
 def test_files_are_loaded_once(spark, tmp_path):
@@ -214,3 +214,39 @@ def test_staging_drops_blank_keys_and_other_batches(bank):
     stg = stage_batch("customer", bank.raw("customer"), "B1", "2024-02-01")
     assert stg.filter("trim(customer_id) = '' or customer_id is null").count() == 0
     assert stg.count() == bank.table("customer").count()
+
+
+def test_merge_keeps_labels_and_the_null_partition(spark, tmp_path):
+    from tallyward.sources.sinks import merge_into, overwrite
+
+    schema = "id string, day int, amount int, label boolean"
+    path = str(tmp_path / "fact")
+    overwrite(spark.createDataFrame([("a", 1, 1, True), ("b", None, 2, False), ("c", 1, 3, None)], schema), path, ["day"])
+    merge_into(spark.createDataFrame([("a", 2, 10, None), ("d", None, 4, None)], schema), path, "id", "day", ("label",))
+    got = {tuple(r) for r in spark.read.parquet(path).select("id", "day", "amount", "label").collect()}
+    assert got == {("a", 2, 10, True), ("b", None, 2, False), ("c", 1, 3, None), ("d", None, 4, None)}
+
+
+def test_publish_switches_versions(spark, tmp_path):
+    from tallyward.sources.sinks import current_path, publish
+
+    path = str(tmp_path / "dim")
+    for n in range(3):
+        old = spark.read.parquet(current_path(spark, path)) if n else None
+        one = spark.range(n, n + 1)
+        publish(old.unionByName(one) if n else one, path)
+    assert sorted(r[0] for r in spark.read.parquet(current_path(spark, path)).collect()) == [0, 1, 2]
+
+
+def test_unreadable_files_fail_or_are_named(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from tallyward.sources.raw import load_raw, skipped_files
+
+    schema = T.StructType([T.StructField("a", T.StringType())])
+    spark.createDataFrame([("x",)], schema).write.parquet(str(tmp_path / "raw"))
+    (tmp_path / "raw" / "broken.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        load_raw(spark, str(tmp_path / "raw"), schema).collect()
+    assert load_raw(spark, str(tmp_path / "raw"), schema, "continue").count() == 1
+    assert [r["file"].rsplit("/", 1)[1] for r in skipped_files(spark, str(tmp_path / "raw"), schema).collect()] == ["broken.parquet"]

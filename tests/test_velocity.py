@@ -1,5 +1,6 @@
 """Sliding figures against a row-at-a-time model, with hot accounts, ties and blanks."""
 
+from pyspark.sql import functions as F
 import random
 from datetime import datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
@@ -98,3 +99,14 @@ def test_a_foreign_hot_list_changes_nothing(spark):
     hot = hot_accounts(later, hot_rows=5)
     assert hot.count() > 0
     assert figures(velocity(df, hot=hot)) == brute(rows)
+
+
+def test_untimed_rows_do_not_widen_slices(spark):
+    from tallyward.operators.velocity import hot_accounts
+
+    rows = [r for r in make(400, 9, hot=1.0)]
+    timed = spark.createDataFrame(rows, SCHEMA).filter("transaction_date is not null")
+    untimed = timed.limit(1).withColumn("transaction_date", F.lit(None).cast("timestamp"))
+    with_ = hot_accounts(timed.unionByName(untimed), hot_rows=50).first()
+    without = hot_accounts(timed, hot_rows=50).first()
+    assert with_["_first"] == without["_first"] and with_["_width"] <= without["_width"]
