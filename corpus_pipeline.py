@@ -11,14 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.llm import exact_dedup, language, near_dups, packing
-from tallyward.llm.tables import new_path, ready, stored, table
+from tallyward.llm.tables import new_path, ready, table
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3. Rejects documents without a language (no text, or none with a letter)."""
     ready(spark)
-    found = stored(language.identify(docs).filter(F.col("lang_pred") == language.UNKNOWN).select("doc_id"), "no-language")
-    return docs.join(found.distinct(), docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    return language.known_documents(docs)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

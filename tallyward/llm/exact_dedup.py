@@ -7,9 +7,10 @@ settled where they are. No remaining digest is frequent, so the rest is grouped
 shuffle (aggregated before it) and joined back.
 
 Contract: null text counts as empty. Equal means identical after lower-casing A-Z, told by
-SHA-256. Rows without doc_id count in group_size, are never the one that stays unless no row of
-the group has an id, in which case keep_id is null and none is kept. Rows that repeat a doc_id
-with equal texts are one document written twice: both are marked as kept. Empty table: no rows.
+SHA-256. Rows without doc_id count in group_size; where no row of a group has an id, keep_id is
+null and all of them are marked as kept. Rows that repeat a doc_id with equal texts are one
+document written twice: both are marked as kept, and kept_documents() returns one of them. Empty
+table: no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.tables import ascii_lower, stored
+from tallyward.llm.tables import ascii_lower, free_name, stored
 
 COUNTERS = 1024
 
@@ -76,11 +77,15 @@ def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     rest = digests.join(winners, "digest", "left_anti")
     light = rest.join(rest.groupBy("digest").agg(*group), "digest")
     return heavy.unionByName(light).select(
-        "doc_id", "keep_id", "group_size", (F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False))).alias("kept"),
+        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def kept_documents(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    stays = exact_groups(docs, counters).filter("kept").select("doc_id").distinct()
-    return docs.join(stays, "doc_id", "left_semi").select(*docs.columns)
+    """The rows of ``docs`` that stay, with all their columns: one for each text."""
+    key = free_name(docs, "kept_key")
+    stays = exact_groups(docs, counters).filter("kept").select(
+        F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_sha256").alias(key)).distinct()
+    own = F.sha2(ascii_lower(F.col("text")).cast("binary"), 256)
+    named = docs.withColumn(key, F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), own))
+    return named.join(stays, key, "left_semi").dropDuplicates([key]).select(*docs.columns)

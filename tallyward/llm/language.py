@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyward.llm.tables import slices, stored
+from tallyward.llm.tables import free_name, slices, stored
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -140,30 +141,39 @@ def learn(docs: DataFrame, buckets: int = BUCKETS) -> Model | None:
     return Model(languages, prior, weights)
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
+def with_language(docs: DataFrame, model: Model | None, language: str, score: str) -> DataFrame:
+    """``docs`` with two more columns, of these names. No shuffle: rows are scored where they are."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+    names = [*docs.columns, language, score]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
+            texts = [t or "" for t in batch.column(at).to_pylist()]
             langs, scores = [], []
             for a, b in slices(texts, 1_000_000):
                 if own is None:
                     langs += [UNKNOWN] * (b - a)
                     scores += [0.0] * (b - a)
                     continue
-                best, score, letters = own.score(texts[a:b])
+                best, share, letters = own.score(texts[a:b])
                 langs += [own.languages[i] if x else UNKNOWN for i, x in zip(best.tolist(), letters.tolist())]
-                scores += np.where(letters, np.minimum(score, 1.0), 0.0).tolist()
+                scores += np.where(letters, np.minimum(share, 1.0), 0.0).tolist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=["doc_id", "held_out", "lang_pred", "score"])
+                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=names)
 
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    return predict(docs, learn(docs))
+    """doc_id, held_out, lang_pred and score of every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    return with_language(rows, learn(docs), "lang_pred", "score").drop("text")
+
+
+def known_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with a language, with all their columns."""
+    language, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
+    return with_language(docs, learn(docs), language, score).filter(F.col(language) != UNKNOWN).select(*docs.columns)

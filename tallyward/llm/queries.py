@@ -78,7 +78,7 @@ LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-               coalesce(doc_id = max(doc_id) OVER same, false) AS kept, sha256(norm) AS text_sha256
+               doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
         FROM (SELECT doc_id, {LOWER} AS norm FROM documents)
         WINDOW same AS (PARTITION BY norm)""",
     "op6_quotation_linking": """

@@ -50,6 +50,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores behind it, as no column of ``df`` is called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(texts: list[str], limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Neighbouring texts of about ``limit`` characters together; at least one text each."""
     begin = size = 0
