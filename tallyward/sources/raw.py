@@ -78,7 +78,7 @@ def load_raw(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def skipped_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Files below ``path`` that a load with ``on_error="continue"`` takes no row from."""
+    """Files below ``path`` that a load with ``on_error="continue"`` takes no row from: unreadable or empty ones."""
     listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
               .select(F.col("_metadata.file_path").alias("file")))
     read = load_raw(spark, path, schema, "continue").select(F.col("_metadata.file_path").alias("file")).distinct()

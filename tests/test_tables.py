@@ -244,7 +244,7 @@ def test_unreadable_files_fail_or_are_named(spark, tmp_path):
     from tallyward.sources.raw import load_raw, skipped_files
 
     schema = T.StructType([T.StructField("a", T.StringType())])
-    spark.createDataFrame([("x",)], schema).write.parquet(str(tmp_path / "raw"))
+    spark.createDataFrame([("x",)], schema).coalesce(1).write.parquet(str(tmp_path / "raw"))
     (tmp_path / "raw" / "broken.parquet").write_bytes(b"no parquet")
     with pytest.raises(Exception):
         load_raw(spark, str(tmp_path / "raw"), schema).collect()
