@@ -386,6 +386,21 @@ Q["fact_transaction_usd"] = """
 """
 
 # ---- quality ----------------------------------------------------------------------------
+_C = {n: f"(2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1.0) / {n})" for n in (3, 6, 10, 12, 16)}
+CTES["fixed_scores"] = f"""
+    select transaction_id, -power(2.0, -((case when a <= 200 then 1 + {_C[12]} when r <= 6 then 2 + {_C[3]} else 2 end)
+        + (case when t <= 5 then 1 + {_C[10]} else 1 + {_C[6]} end)) / 2 / {_C[16]}) + 0.5 as decision
+    from (select transaction_id, coalesce(cast(amount as double), 0) as a, coalesce(cast(combined_risk_score as double), 0) as r,
+              coalesce(cast(transactions_last_24h as double), 0) as t from featured)
+"""
+Q["score_fixed_iforest"] = """
+    select transaction_id, round(greatest(0.0, least(1.0, 0.5 - decision)), 6) as raw_score, decision < 0 as is_outlier
+    from fixed_scores
+"""
+Q["anomaly_summary_fixed"] = """
+    select count(*) as n_rows, count(*) filter (where decision < 0) as n_anomalies,
+        round(count(*) filter (where decision < 0) / count(*), 6) as share from fixed_scores
+"""
 Q["dq_not_null"] = "select transaction_id, account_number from stg_transaction where amount is null"
 Q["dq_unique"] = "select TransactionID, count(*) as n_rows from raw_transaction where TransactionID is not null group by 1 having count(*) > 1"
 Q["dq_accepted_values"] = """
@@ -404,11 +419,35 @@ _TESTED = {
     "dim_department": "department_key", "dim_employee": "employee_key",
     "dim_transaction_type": "transaction_type_key", "dim_merchant": "merchant_key", "dim_atm": "atm_key",
     "dim_customer": "customer_key", "dim_account": "account_key", "dim_card": "card_key",
+    "dim_fraud_model": "model_key", "fact_transaction": "transaction_id", "fact_fraud_detection": "transaction_id",
+    "fact_loan_snapshot": "snapshot_key", "fact_account_balance_snapshot": "snapshot_key",
+}
+_SOURCES = {
+    "dim_fraud_model": "d_model", "fact_transaction": "f_txn", "fact_fraud_detection": "f_det",
+    "fact_loan_snapshot": "f_loan", "fact_account_balance_snapshot": "f_balance",
+    "stg_realtime_transaction": "stg_rt", "stg_realtime_fraud_detection": "stg_det",
 }
+_FILLED = [
+    ("stg_transaction", "amount"), ("dim_branch", "branch_id"), ("fact_transaction", "amount"),
+    ("fact_fraud_detection", "fraud_score"), ("fact_loan_snapshot", "loan_id"),
+    ("fact_account_balance_snapshot", "account_key"), ("stg_realtime_transaction", "transaction_id"),
+    ("stg_realtime_transaction", "amount"), ("stg_realtime_fraud_detection", "transaction_id"),
+    ("stg_realtime_fraud_detection", "fraud_score"),
+]
+_LISTED = [
+    ("stg_loan", "loan_status", "'PAID_OFF', 'OVERDUE', 'ACTIVE'"),
+    ("fact_fraud_detection", "risk_indication", "'Low', 'Medium', 'High', 'Critical'"),
+    ("fact_fraud_detection", "action_taken", "'Pass', 'Step-Up-Auth', 'Flag', 'Block'"),
+]
+_LINKED = [
+    ("fact_transaction", "customer_key", "d_customer"), ("fact_transaction", "account_key", "d_account"),
+    ("fact_transaction", "merchant_key", "d_merchant"), ("fact_transaction", "atm_key", "d_atm"),
+    ("fact_fraud_detection", "model_key", "d_model"),
+]
 
 
 def _test(model: str, column: str, kind: str) -> str:
-    source = model.replace("dim_", "d_", 1) if model.startswith("dim_") else model
+    source = _SOURCES.get(model, model.replace("dim_", "d_", 1) if model.startswith("dim_") else model)
     failing = (f"(select count(*) from {source} where {column} is null)" if kind == "not_null" else
                f"(select count(*) from (select {column} from {source} where {column} is not null "
                f"group by 1 having count(*) > 1))")
@@ -418,9 +457,11 @@ def _test(model: str, column: str, kind: str) -> str:
 
 Q["dq_report"] = " union all ".join(
     [_test(m, c, k) for m, c in _TESTED.items() for k in ("not_null", "unique")]
-    + [_test("stg_transaction", "amount", "not_null"), _test("dim_branch", "branch_id", "not_null"),
-       "select 'stg_loan', 'loan_status', 'accepted_values', count(*), count(*) = 0 from stg_loan "
-       "where loan_status not in ('PAID_OFF', 'OVERDUE', 'ACTIVE')"])
+    + [_test(m, c, "not_null") for m, c in _FILLED]
+    + [f"select '{m}', '{c}', 'accepted_values', count(distinct {c}), count(*) = 0 from {_SOURCES.get(m, m)} "
+       f"where {c} not in ({values})" for m, c, values in _LISTED]
+    + [f"select '{m}', '{c}', 'relationships', count(distinct {c}), count(*) = 0 from {_SOURCES[m]} "
+       f"where {c} <> '-1' and {c} not in (select {c} from {parent})" for m, c, parent in _LINKED])
 
 # ---- analytics --------------------------------------------------------------------------
 Q["model_precision_recall"] = """

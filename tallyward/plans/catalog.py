@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +13,9 @@ from tallyward.functions import keys as K
 from tallyward.functions import parsing as P
 from tallyward.ml import metrics as M
 from tallyward.ml import training as TR
-from tallyward.ml.iforest import grow_trees, sample_rows, score_iforest, train_iforest
+from tallyward.ml.iforest import (
+    NODE_SCHEMA, IsolationForest, grow_trees, sample_rows, score_iforest, train_iforest,
+)
 from tallyward.operators import enrich as E
 from tallyward.operators import features as FE
 from tallyward.operators import quality as Q
@@ -25,7 +28,7 @@ from tallyward.plans import facts as FT
 from tallyward.plans.bank import Bank
 from tallyward.plans.warehouse import MODEL_TESTS, warehouse_checks
 from tallyward.schemas import BATCH_COLUMNS, RAW_SCHEMAS
-from tallyward.session import checkpoint_dir
+from tallyward.session import checkpoint_dir, cut_lineage
 from tallyward.sources import adapter as A
 from tallyward.sources import cdc as C
 from tallyward.sources import raw as R
@@ -378,6 +381,29 @@ def anomaly_summary(b: Bank) -> DataFrame:
     return M.anomaly_summary(score_iforest(_matrix(b), _iforest(b)))
 
 
+# A small forest with stated nodes (tree, node, feature, cut, left, right, size, depth), so that
+# scoring can be checked without training.
+FIXED_FEATURES = ["amount", "combined_risk_score", "transactions_last_24h"]
+FIXED_NODES = [
+    (0, 0, 0, 200.0, 1, 2, 16, 0), (0, 1, -1, 0.0, -1, -1, 12, 1), (0, 2, 1, 6.0, 3, 4, 4, 1),
+    (0, 3, -1, 0.0, -1, -1, 3, 2), (0, 4, -1, 0.0, -1, -1, 1, 2),
+    (1, 0, 2, 5.0, 1, 2, 16, 0), (1, 1, -1, 0.0, -1, -1, 10, 1), (1, 2, -1, 0.0, -1, -1, 6, 1),
+]
+
+
+def _fixed_scores(b: Bank) -> DataFrame:
+    nodes = pd.DataFrame(FIXED_NODES, columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")])
+    return score_iforest(_matrix(b), IsolationForest(nodes, FIXED_FEATURES, 2, 16, -0.5))
+
+
+def score_fixed_iforest(b: Bank) -> DataFrame:
+    return _fixed_scores(b).select("transaction_id", F.round("raw_score", 6).alias("raw_score"), "is_outlier")
+
+
+def anomaly_summary_fixed(b: Bank) -> DataFrame:
+    return M.anomaly_summary(_fixed_scores(b))
+
+
 def _forest(b: Bank):
     key = ("forest", id(b.spark), b.sf_dir)
     if key not in _TRAINED:
@@ -420,9 +446,13 @@ def dq_relationships(b: Bank) -> DataFrame:
 
 
 def dq_report(b: Bank) -> DataFrame:
-    """All declared tests of the batch models and dimensions."""
+    """All declared tests. The facts and the stream's models are stored first, as several tests
+    read them."""
     models = {f"stg_{n}": b.stg(n) for n in BATCH_MODELS}
-    models |= {f"dim_{n}": df for n, df in b.dims.items()}
+    models |= {f"dim_{n}": df for n, df in b.dims.items()} | {"dim_fraud_model": b.model}
+    models |= {"stg_realtime_transaction": b.stg_realtime, "stg_realtime_fraud_detection": b.stg_detection}
+    models |= {"fact_loan_snapshot": b.fact_loan(A.AS_OF), "fact_account_balance_snapshot": b.fact_balance}
+    models |= {"fact_transaction": cut_lineage(b.fact_transaction), "fact_fraud_detection": cut_lineage(b.fact_detection)}
     return Q.dq_report(warehouse_checks({n: df for n, df in models.items() if n in MODEL_TESTS}))
 
 
@@ -465,6 +495,8 @@ QUERIES = {
     "velocity_quality": velocity_quality,
     "class_balance": lambda b: M.class_balance(R.labels(b.fact_labelled)),
     "anomaly_summary": anomaly_summary,
+    "score_fixed_iforest": score_fixed_iforest,
+    "anomaly_summary_fixed": anomaly_summary_fixed,
     "classification_report": lambda b: M.classification_report(_judged(b)),
     "auc_roc": lambda b: M.auc_roc(_judged(b)),
     "dimension_health": dimension_health,
