@@ -99,9 +99,10 @@ def _range_of(key: Column, bounds: list[int]) -> Column:
     return F.when(key.isNull(), 0).otherwise(between(0, len(bounds)))
 
 
-def with_next(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
+def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """doc_id, text, range r and g, dealt by r: in each range its documents and, with g true, the
-    first of the next range."""
+    first of the next range. There are RANGES ranges, or as many as there are shuffle partitions."""
+    ranges = ranges or max(RANGES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     shares = [i / ranges for i in range(1, ranges)]
     found = rows.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0]
