@@ -193,7 +193,7 @@ def _wanted(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     place = F.xxhash64("id")
     word = F.pmod(place, F.lit(WORDS_OF_FILTER)).cast("int")
     bit = F.shiftrightunsigned(place, 58).cast("int")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    ids = pairs.select(F.col("a").alias("id")).distinct().union(pairs.select(F.col("b").alias("id")).distinct())
     bits = ids.select(word.alias("word"), F.expr("shiftleft(1L, cast(shiftrightunsigned(xxhash64(id), 58) as int))").alias("bit"))
     map_ = bits.groupBy("word").agg(F.bit_or("bit").alias("bits"))
     near = texts.withColumn("word", word).withColumn("bit", bit).join(F.broadcast(map_), "word")
