@@ -40,7 +40,7 @@ from tallyward.llm.word_hashes import BASE, mix
 
 BLANK = "▁"
 SAMPLES = 3
-REACH = 37.0
+REACH = 22.9  # the most that noise of 32 bits can add: -log(-log(1 - 2 ** -33))
 
 
 class Vocabulary:
@@ -78,6 +78,9 @@ class Vocabulary:
         order = np.argsort(keys)
         self.keys, self.nodes = keys[order], np.array(list(children.values()), np.int64)[order]
         self.piece_at = np.array(piece_at, np.int64)
+        self.roots = np.full(0x110000, -1, np.int32)  # the first step of the walk, for all characters
+        of_root = self.keys < 1 << 21
+        self.roots[self.keys[of_root]] = self.nodes[of_root]
         self.longest = max(len(sp.id_to_piece(i)) for i in range(size) if not sp.is_byte(i))
         self.flat = np.frombuffer(b"".join(written), np.uint8)
         self.sizes = np.array([len(w) for w in written], np.int64)
@@ -110,7 +113,7 @@ class Lattice:
         for length in range(1, vocabulary.longest + 1):
             live = place + length <= stop[place]
             place, node = place[live], node[live]
-            node = vocabulary.child(node, points[place + length - 1])
+            node = vocabulary.child(node, points[place + length - 1]) if length > 1 else vocabulary.roots[points[place]].astype(np.int64)
             place, node = place[node >= 0], node[node >= 0]
             if not len(place):
                 break
@@ -169,12 +172,12 @@ class Lattice:
 
 
 def uniform(*parts) -> np.ndarray:
-    """Numbers in (0, 1) from a hash of the parts."""
+    """Numbers in (0, 1) of 32 bits from a hash of the parts."""
     x = np.uint64(0)
     with np.errstate(over="ignore"):
         for part in parts:
             x = mix((x ^ np.asarray(part).astype(np.uint64)) * np.uint64(BASE) + np.uint64(1))
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
+    return ((x >> np.uint64(32)).astype(np.float64) + 0.5) / 2.0 ** 32
 
 
 class Batch:
@@ -284,7 +287,7 @@ class Batch:
     def _siblings(self, queue, wanted, sample, text, value, whose, before, first, steps, found):
         """Adds to each text's queue the siblings along its path that may be among the best."""
         lattice, (_, edge, _, word, lane) = self.lattice, found
-        floor = np.full(len(text), -REACH - 8)
+        floor = np.full(len(text), -REACH - 4)
         todo = np.arange(len(text))
         while len(todo):
             chosen = np.zeros(len(text), bool)
@@ -338,14 +341,20 @@ class Batch:
         found = self.lattice.piece[edges]
         if not len(found) or found.min() >= 0:
             return found, counts
-        parts, sizes = [], np.ones(len(found), np.int64)
-        last = 0
-        for i in np.flatnonzero(found < 0).tolist():
-            raw = chr(self.points[self._place_of(edges[i:i + 1])[0]]).encode("utf-8", "surrogatepass")
-            parts += [found[last:i], self.vocabulary.byte_id[list(raw)]]
-            sizes[i], last = len(raw), i + 1
-        upto = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
-        return np.concatenate([*parts, found[last:]]), np.diff(upto)
+        missing = np.flatnonzero(found < 0)
+        points = self.points[self._place_of(edges[missing])]
+        sizes = np.ones(len(found), np.int64)
+        raw = {c: chr(c).encode("utf-8", "surrogatepass") for c in np.unique(points).tolist()}
+        for c, own in raw.items():
+            sizes[missing[points == c]] = len(own)
+        total = np.cumsum(sizes)
+        out = np.repeat(found, sizes)
+        for c, own in raw.items():
+            first = (total - sizes)[missing[points == c]]
+            for j, byte in enumerate(own):
+                out[first + j] = self.vocabulary.byte_id[byte]
+        upto = np.concatenate([[0], total])[np.concatenate([[0], np.cumsum(counts)])]
+        return out, np.diff(upto)
 
 
 def set_of(found: dict) -> set:
