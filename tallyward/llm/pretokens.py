@@ -118,7 +118,7 @@ class WordIds:
     most ``most`` pre-tokens are remembered; texts with special tokens or characters that need full
     normalisation are left to the library as they are."""
 
-    def __init__(self, path: str, most: int = 1_500_000):
+    def __init__(self, path: str, most: int = 800_000):
         self.alphabet = Alphabet(path)
         vocabulary = self.alphabet.tokenizer.get_vocab()
         self.final = np.zeros(max(vocabulary.values()) + 1, bool)

@@ -58,7 +58,7 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def slices(texts: list[str], limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: list[str], limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Neighbouring texts of about ``limit`` characters together; at least one text each."""
     begin = size = 0
     for i, text in enumerate(texts):

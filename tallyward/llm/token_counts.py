@@ -362,7 +362,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", keep: tuple[str
         machine = transducer(path)
         for batch in batches:
             texts = batch.column("__text").to_pylist()
-            counts = [machine.count(texts[a:b]) for a, b in slices(texts)]
+            counts = [machine.count(texts[a:b]) for a, b in slices(texts, 4_000_000)]
             found = np.concatenate(counts) if counts else np.empty(0, np.int64)
             arrays = [batch.column(c) for c in batch.schema.names if c != "__text"]
             names = [c for c in batch.schema.names if c != "__text"]

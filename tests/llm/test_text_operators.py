@@ -210,7 +210,7 @@ def test_attention_is_a_distribution_and_learns(spark, empty, smoke_dir):
     # On text held out, the trained model beats the counts of single ids that it falls back on.
     docs = table(spark, smoke_dir, "documents")
     encoder = WordIds(WORDS)
-    model = attention_lm.learn(attention_lm.gather(docs, WORDS), len(encoder.final))
+    model = attention_lm.Model.unpacked(attention_lm.learn(attention_lm.gather(docs, WORDS), len(encoder.final)))
     held = [r["text"] for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 1]
     ids, counts = encoder.encode(held, end=True)
     assert model.log10(ids.astype(np.int64), counts).sum() > 0.95 * np.log10(model.unigram[ids]).sum()
