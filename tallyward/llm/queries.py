@@ -92,4 +92,21 @@ ORACLES: dict[str, str] = {
                turn - root_turn AS depth, least(turn - root_turn, 2) AS max_level,
                sha256(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS text_sha256
         FROM chains""",
+    "op8_near_duplicates": f"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        places AS (
+            SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts WHERE len(w) > 0),
+        shingles AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s FROM places),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT p.x, p.y FROM (
+                SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b USING (s)
+                WHERE a.doc_id <> b.doc_id GROUP BY ALL) p
+            JOIN sizes m ON m.doc_id = p.x JOIN sizes n ON n.doc_id = p.y WHERE 100 * c >= 75 * (m.n + n.n - c)),
+        reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+        least_of AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) AS component_id,
+               d.doc_id = least(d.doc_id, coalesce(y, d.doc_id)) AS kept
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least_of r ON r.x = d.doc_id""",
 }
