@@ -79,17 +79,18 @@ def answers(found: DataFrame) -> DataFrame:
 
 
 def roots(parents: DataFrame) -> DataFrame:
-    """message, root and depth of messages that have a parent: each round doubles the reach."""
-    now = stored(parents.select("message", F.col("parent").alias("up"), F.lit(1).cast("long").alias("depth")), "replies")
-    while True:
-        above = now.select(F.col("message").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        joined = now.join(above, "up", "left")
-        after = stored(joined.select("message", F.coalesce("next", "up").alias("up"),
-                                     (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "replies")
-        moved = after.agg(F.sum("depth")).first()[0]
-        if moved == now.agg(F.sum("depth")).first()[0]:
-            return after.select("message", F.col("up").alias("root"), "depth")
-        now = after
+    """message, root and depth of messages that have a parent. Each round doubles the reach of the
+    messages that have not met a root yet; the others take no further part."""
+    now = stored(parents.select("message", F.col("parent").alias("up"), F.lit(1).cast("long").alias("depth"),
+                                F.lit(False).alias("done")), "replies")
+    while now.filter("not done").limit(1).count():
+        above = now.select(F.col("message").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"),
+                           F.col("done").alias("ended"))
+        moved = now.filter("not done").join(above, "up", "left").select(
+            "message", F.coalesce("next", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+            (F.col("next").isNull() | F.col("ended")).alias("done"))
+        now = stored(now.filter("done").unionByName(moved), "replies")
+    return now.select("message", F.col("up").alias("root"), "depth")
 
 
 def conversations(messages: DataFrame) -> DataFrame:
