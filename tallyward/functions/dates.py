@@ -31,6 +31,7 @@ def iso_weekday(c) -> Column:
 
 def age_band(birth, as_of) -> Column:
     age = year_boundaries(birth, as_of)
+    # The age bands and their names.
     bands = [(25, "18-25"), (35, "26-35"), (45, "36-45"), (55, "46-55"), (65, "56-65")]
     out = F.when(_col(birth).isNull(), "Unknown").when(age < 18, "Under 18")
     for top, label in bands:

@@ -47,6 +47,7 @@ def fraud_type(df: DataFrame) -> DataFrame:
             hit = hit & (F.col(n) == 1)
         return hit
 
+    # The names of the fraud types, in the order of their rules.
     rules = [
         (F.col("location_mismatch") >= 2, "Account-Takeover"),
         (on("is_online", "is_high_value"), "Card-Not-Present"),

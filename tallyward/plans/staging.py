@@ -321,9 +321,3 @@ def stage_realtime_transaction(raw: DataFrame) -> DataFrame:
 def stage_realtime_detection(raw: DataFrame) -> DataFrame:
     rows = not_blank(raw, "TransactionID")
     return rows.select(*[e.alias(n) for n, e in realtime_detection_columns().items()])
-
-
-def register_staging(staged: dict[str, DataFrame]) -> None:
-    """Expose staged frames as ``stg_<name>`` views for SQL users."""
-    for name, df in staged.items():
-        df.createOrReplaceTempView(f"stg_{name}")
