@@ -216,6 +216,15 @@ def test_attention_is_a_distribution_and_learns(spark, empty, smoke_dir):
     assert model.log10(ids.astype(np.int64), counts).sum() > 0.95 * np.log10(model.unigram[ids]).sum()
 
 
+def test_attention_learns_from_every_id(spark):
+    # Long documents: 8 MB in few ids, each of them a target whatever the size of the corpus.
+    docs = spark.createDataFrame([(i, " responsibility" * 100_000) for i in range(8)], "doc_id long, text string")
+    size = len(WordIds(WORDS).final)
+    _, unigram, met, rows = attention_lm.learn(attention_lm.gather(docs, WORDS), size)
+    learned = sum(zlib.crc32(str(i).encode()) % attention_lm.FOLDS != attention_lm.HELD for i in range(8))
+    assert 5 <= learned and abs(rows[:, -attention_lm.Z:].sum(dtype=np.float64) / (learned * 100_001) - 1) < 1e-3
+
+
 def test_segmentations(spark, odd, empty):
     rows = segmentations.sample_table(odd, PIECES, with_ids=True).collect()
     sp = segmentations.vocabulary(PIECES).library
