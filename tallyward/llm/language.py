@@ -174,6 +174,8 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def known_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with a language, with all their columns."""
+    """The rows of ``docs`` whose text has a letter, with all their columns. Where nothing can be
+    learned they are kept too: a table without labels says nothing against its texts."""
     language, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
-    return with_language(docs, learn(docs), language, score).filter(F.col(language) != UNKNOWN).select(*docs.columns)
+    model = learn(docs) or Model([UNKNOWN], np.zeros(1), np.zeros((1, 1)))  # one language: tells letters only
+    return with_language(docs, model, language, score).filter(F.col(score) > 0).select(*docs.columns)

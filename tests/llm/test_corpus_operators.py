@@ -261,6 +261,14 @@ def test_pipeline_stages(spark, docs, empty, smoke_dir):
         assert stage(spark, empty, "").count() == 0
 
 
+def test_language_stage_keeps_unlabelled_documents(spark, docs):
+    assert docs.filter("lang is not null").count() == 0
+    want = Counter(r["text"] for r in docs.collect() if re.search(r"[^\W\d_]", r["text"] or ""))
+    named = docs.withColumn("lang", F.lit("und"))  # a label that is called like no language
+    for rows in (docs, docs.withColumn("doc_id", F.lit(None).cast("long")).withColumn("lang", F.lit("en")), named):
+        assert Counter(r["text"] for r in corpus_pipeline.language_stage(spark, rows, "").collect()) == want
+
+
 def test_pipeline_run(spark, smoke_dir):
     pieces = corpus_pipeline.run(spark, smoke_dir)
     documents = table(spark, smoke_dir, "documents")
