@@ -1,15 +1,17 @@
 """Operator 6 [native]: quotation linking.
 
 Every line of a message has a quote level: the number of ">" it begins with. A passage is one
-non-blank line; quoted passages are normalised (lower case, single blanks), hashed and joined to
-the first message of the thread that holds the passage as its own text. A message answers the
+non-blank line; a message without own text holds the blank passage, and a quote level with blank
+lines only quotes it. Quoted passages are normalised (lower case, single blanks), hashed and linked to
+the latest earlier message of the thread that holds the passage as its own text. A message answers the
 earlier message that most of its least deeply quoted, linked characters come from. Pointer
 jumping over these answers gives each message the root of its conversation and its depth, in as
 many rounds as the logarithm of the longest chain. Quotes and the lines that announce them are
 taken out of the texts. Everything is made of Spark functions.
 
-Originals are reduced to one row for each passage before they are joined, so a passage that many
-messages hold or quote makes no pairs. No conversation is collected: (root, depth, sent, message)
+Holders and quotes of a passage are put in one order and each quote takes the last holder before
+it, so a passage that many messages hold or quote makes no pairs. The order is cut into slices of
+equal size whatever the passage; the last holder is carried over from one slice to the next. No conversation is collected: (root, depth, sent, message)
 is its reply order, and sorting by it is up to the reader.
 
 Contract: null text counts as empty. Messages with nothing linked are roots of depth 0; a passage
@@ -20,7 +22,7 @@ own. Other columns are dropped. Empty table: no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.tables import stored
@@ -52,30 +54,44 @@ def without_quotes(text: Column) -> Column:
 
 
 def passages(messages: DataFrame) -> DataFrame:
-    """thread, message, sent, level, hash and size of every non-blank line."""
-    lines = messages.select("thread", "message", "sent", F.explode(F.split("text", "\n")).alias("line"))
-    found = lines.select("thread", "message", "sent", level(F.col("line")).alias("level"),
-                         normalised(content(F.col("line"))).alias("passage"))
-    return found.filter("passage <> ''").select(
-        "thread", "message", "sent", "level", F.sha2("passage", 256).alias("hash"), F.length("passage").alias("size"))
+    """thread, message, sent, level, hash and size of every non-blank line, and of the blank passage
+    of a message without own text and of quote levels with blank lines only."""
+    lines = messages.select("thread", "message", "sent", (without_quotes(F.col("text")) == "").alias("bare"), F.transform(
+        F.split("text", "\n"), lambda x: F.struct(level(x).alias("level"), normalised(content(x)).alias("passage"))).alias("lines"))
+    told = lines.select("*", F.filter("lines", lambda x: x.passage != "").alias("told"))
+    empty = F.array_except(F.filter(F.col("lines.level"), lambda x: x > 0), F.filter(F.col("told.level"), lambda x: x > 0))
+    empty = F.when(F.col("bare"), F.array_append(empty, F.lit(0))).otherwise(empty)
+    blank = F.transform(empty, lambda x: F.struct(x.alias("level"), F.lit("").alias("passage")))
+    found = told.select("thread", "message", "sent", F.explode(F.concat("told", blank)).alias("line"))
+    return found.select("thread", "message", "sent", "line.level", F.sha2("line.passage", 256).alias("hash"),
+                        F.length("line.passage").alias("size"))
 
 
 def answers(found: DataFrame) -> DataFrame:
     """message and the message it answers (parent), for messages with a link, and linked: how many
     of its quoted passages have an original."""
-    originals = found.filter("level = 0").groupBy("thread", "hash").agg(
-        F.min(F.struct("sent", "message")).alias("first"))
+    own = found.filter("level = 0").select("thread", "message", "sent", "level", "hash").distinct()
     quoted = found.filter("level > 0").groupBy("thread", "message", "sent", "level", "hash").agg(
         F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
-    same = [quoted.thread.eqNullSafe(originals.thread), quoted.hash == originals.hash]
-    links = quoted.join(originals.select("thread", "hash", "first"), same).select(
-        "message", "sent", "level", "size", "n", "first").filter(
-        F.struct(F.col("first.sent").alias("sent"), F.col("first.message").alias("message"))
-        < F.struct(F.col("sent"), F.col("message")))
-    votes = links.groupBy("message", "level", "first").agg(F.sum("size").alias("size"), F.sum("n").alias("n"))
+    # A message's quotes stand before its own lines, so that it never answers itself.
+    place = [F.col(c) for c in ("thread", "hash", "sent", "message")] + [F.col("level") == 0]
+    both = quoted.unionByName(own, allowMissingColumns=True).repartitionByRange(*place)
+    both = stored(both.withColumn("slice", F.spark_partition_id()), "passage-slices")
+    holds = F.when(F.col("level") == 0, F.struct("sent", "message"))
+    sliced = Window.partitionBy("thread", "hash", "slice").orderBy("sent", "message", F.col("level") == 0)
+    near = both.withColumn("near", F.last(holds, True).over(sliced.rowsBetween(Window.unboundedPreceding, 0))).filter("level > 0")
+    # One row for each passage and slice; only passages that span slices have something to carry.
+    last = both.groupBy("thread", "hash", "slice").agg(F.max(holds).alias("last"))
+    before = Window.partitionBy("thread", "hash").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(F.col("thread").alias("t"), F.col("hash").alias("h"), F.col("slice").alias("s"),
+                          F.last("last", True).over(before).alias("carried")).filter("carried is not null")
+    here = near.thread.eqNullSafe(carried.t) & (near.hash == carried.h) & (near.slice == carried.s)
+    links = near.join(carried, here, "left").select(
+        "message", "level", "size", "n", F.coalesce("near", "carried").alias("holder")).filter("holder is not null")
+    votes = links.groupBy("message", "level", "holder").agg(F.sum("size").alias("size"), F.sum("n").alias("n"))
     best = votes.groupBy("message").agg(
-        F.max(F.struct((-F.col("level")).alias("near"), "size", "first")).alias("best"), F.sum("n").alias("linked"))
-    return best.select("message", F.col("best.first.message").alias("parent"), "linked")
+        F.max(F.struct((-F.col("level")).alias("near"), "size", "holder")).alias("best"), F.sum("n").alias("linked"))
+    return best.select("message", F.col("best.holder.message").alias("parent"), "linked")
 
 
 def roots(parents: DataFrame) -> DataFrame:

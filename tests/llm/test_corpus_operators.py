@@ -238,6 +238,16 @@ def test_quotes(spark):
     assert quotes.conversations(df.limit(0)).count() == 0
 
 
+def test_quotes_link_the_latest_holder(spark):
+    ready(spark)
+    texts = {1: ["A", "yes", "B", "yes", "C"], 2: ["A", "", "B", None, " ", "C", "yes", "yes", "D"], 3: ["", "a", "", "b"],
+             4: ["yes", "no"] * 150}
+    rows = [(c, t, "user", x) for c, own in texts.items() for t, x in enumerate(own)]
+    mails = quotes.replies_with_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {r["message"]: (r["parent"], r["root"], r["depth"], r["max_level"]) for r in quotes.conversations(mails).collect()}
+    assert got == {f"{c}:{t}": (f"{c}:{t - 1}" if t else None, f"{c}:0", t, min(t, 2)) for c, t, *_ in rows}
+
+
 def test_pipeline_stages(spark, docs, empty, smoke_dir):
     rows = [(r["doc_id"], r["text"]) for r in docs.filter("doc_id is not null").collect()]
     labelled = docs.withColumn("lang", F.lit("en"))
