@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.functions.parsing import parse_datetime
 from tallyward.ml.iforest import train_iforest
 from tallyward.ml.metrics import auc_roc, classification_report, label_count
 from tallyward.ml.training import (
@@ -34,7 +33,7 @@ from tallyward.sources.sinks import (
     _exists, build, current_path, merge_into, merge_upsert, overwrite, publish, register_model,
 )
 
-OVERLAP = timedelta(hours=1)
+_SLASHES = ":/{2,}"
 _TYPE2_KEYS = {"employee": "employee_id", "customer": "customer_id", "account": "account_number"}
 
 
@@ -114,33 +113,38 @@ def _realtime(w: Warehouse, name: str) -> DataFrame:
     return load_raw(w.spark, folder, RAW_SCHEMAS[name])
 
 
-def _new_realtime(w: Warehouse, name: str, fact: str, full_refresh: bool) -> DataFrame:
-    """Stored stream rows, only those scored after the newest one merged unless all are wanted.
+def _files(rows: DataFrame) -> set[str]:
+    """The files of a snapshot. Spark writes local names with one slash or three, depending on where."""
+    return {re.sub(_SLASHES, ":/", f) for f in rows.inputFiles()}
 
-    The mark is kept per source by _remember(), after the merge. Rows scored within OVERLAP
-    before it are merged again: merging twice changes nothing, missing a row would.
+
+def _new_realtime(w: Warehouse, rows: DataFrame, fact: str, full_refresh: bool) -> DataFrame:
+    """Of stored stream rows, those in files that are not merged yet, unless all are wanted.
+
+    ``rows`` is a snapshot: its files were listed when it was made. _remember() keeps just these
+    after the merge, so a file that comes meanwhile, however old its rows, is merged next time.
     """
-    rows = _realtime(w, name)
-    mark = f"merged_{fact}"
+    mark = f"merged_files_{fact}"
     if full_refresh or not w.has(mark):
         return rows
-    newest = w.read(mark).first()[0]  # one row
-    if newest is None:
-        return rows
-    return rows.filter(F.coalesce(parse_datetime("processing_timestamp") >= F.lit(newest - OVERLAP), F.lit(True)))
+    merged = {r[0] for r in w.read(mark).collect()}  # names of files, which the driver lists anyway
+    fresh = sorted(_files(rows) - merged)
+    name = F.regexp_replace("_metadata.file_path", _SLASHES, ":/")
+    return rows.filter(name.isin(fresh) if fresh else F.lit(False))
 
 
-def _remember(w: Warehouse, name: str, fact: str) -> None:
-    newest = _realtime(w, name).agg(F.max(parse_datetime("processing_timestamp")).alias("newest"))
-    w.publish(f"merged_{fact}", newest)
+def _remember(w: Warehouse, rows: DataFrame, fact: str) -> None:
+    files = w.spark.createDataFrame([(f,) for f in sorted(_files(rows))], "file string")
+    w.publish(f"merged_files_{fact}", files)
 
 
 def _build_facts(w: Warehouse, staged, dims, full_refresh: bool) -> dict[str, DataFrame]:
-    stream = ST.stage_realtime_transaction(
-        _new_realtime(w, "realtime_transaction", "fact_transaction", full_refresh))
-    detection = ST.stage_realtime_detection(_realtime(w, "realtime_fraud_detection"))
-    fresh = ST.stage_realtime_detection(
-        _new_realtime(w, "realtime_fraud_detection", "fact_fraud_detection", full_refresh))
+    # Detections are listed first: the stream writes them after their transactions.
+    detections = _realtime(w, "realtime_fraud_detection")
+    transactions = _realtime(w, "realtime_transaction")
+    stream = ST.stage_realtime_transaction(_new_realtime(w, transactions, "fact_transaction", full_refresh))
+    detection = ST.stage_realtime_detection(detections)
+    fresh = ST.stage_realtime_detection(_new_realtime(w, detections, "fact_fraud_detection", full_refresh))
     registry = w.read("model_registry") if w.has("model_registry") else None
     model = w.publish("dim_fraud_model", dim_fraud_model(detection, registry, w.now))
     sources = FT.union_sources(
@@ -149,8 +153,8 @@ def _build_facts(w: Warehouse, staged, dims, full_refresh: bool) -> dict[str, Da
           "transaction_id", "date_key", full_refresh, FT.LABELS)
     build(FT.fact_fraud_detection(fresh, w.read("fact_transaction"), model, w.now),
           w.path("fact_fraud_detection"), "transaction_id", "detection_date_key", full_refresh)
-    for name in ("realtime_transaction", "realtime_fraud_detection"):
-        _remember(w, name, "fact_transaction" if name == "realtime_transaction" else "fact_fraud_detection")
+    _remember(w, transactions, "fact_transaction")
+    _remember(w, detections, "fact_fraud_detection")
     snapshots = {
         "fact_account_balance_snapshot": FT.fact_account_balance_snapshot(
             staged["account"], staged["transaction"], dims["customer"], dims["account"], w.as_of, w.now),

@@ -212,6 +212,35 @@ def test_jobs_end_to_end(spark, bank, streamed, tmp_path_factory):
     assert registry["v2"]["algorithm"] == "RandomForestClassifier"
 
 
+def test_refresh_merges_what_the_stream_wrote_meanwhile(spark, bank, tmp_path, monkeypatch):
+    lake = str(tmp_path / "the lake")
+    accounts, customers = bank.accounts.persist(), bank.customers.persist()
+
+    def write(i, hour, run):
+        cfg = ST.StreamConfig(lake, lambda: accounts, lambda: customers, run=run,
+                              clock=lambda: datetime(2024, 2, 1, hour, tzinfo=timezone.utc))
+        ST.process_batch(spark.createDataFrame([_event(i, "2024-02-01T05:00:00")], "value string"), 0, cfg)
+
+    def meanwhile(*args, make=J.build):
+        if args[1].endswith("fact_transaction") and not (tmp_path / "the lake/realtime/stamps/run=b c").exists():
+            write("s2", 7, "b c")  # a run that lags by hours
+        make(*args)
+
+    monkeypatch.setattr(J, "build", meanwhile)
+    write("s1", 10, "a")
+    w = J.Warehouse(spark, lake, "2024-02-01", "2024-02-01 12:00:00", "B1",
+                    lambda t: bank.raw(t).filter("_BATCH_ID = 'B1'"), ModelId("tally", "v1"))
+    facts = ("fact_transaction", "fact_fraud_detection")
+    known = lambda: [{r[0] for r in w.read(f).filter("transaction_id like 's_'").select("transaction_id").collect()} for f in facts]
+    J.initial_load(w)
+    assert known() == [{"s1"}] * 2
+    rows = J._realtime(w, "realtime_transaction")
+    assert [r["TransactionID"] for r in J._new_realtime(w, rows, facts[0], False).collect()] == ["s2"]
+    J.batch_refresh(w)
+    assert known() == [{"s1", "s2"}] * 2
+    assert J._new_realtime(w, J._realtime(w, "realtime_transaction"), facts[0], False).count() == 0
+
+
 def test_dim_date(spark):
     d = dim_date(date_range(spark, "2024-02-26", "2024-03-01")).orderBy("date_key").collect()
     assert [r["date_key"] for r in d] == [20240226, 20240227, 20240228, 20240229, 20240301]
