@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import attention_lm, direct_codes, exact_dedup, language, near_dups, packing, quotes, segmentations, sketches, token_counts
+from tallyward.llm import attention_lm, byte_bpe, direct_codes, exact_dedup, language, near_dups, packing, quotes, segmentations, sketches, token_counts
 from tallyward.llm.tables import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -60,6 +61,10 @@ def op10_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return direct_codes.round_trip(table(spark, sf_dir, "documents"), WORDS)
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), MULTI)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
     "op10_direct_codes": op10_direct_codes,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
