@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import attention_lm, byte_bpe, direct_codes, exact_dedup, language, near_dups, packing, quotes, segmentations, sketches, token_counts
+from tallyward.llm import alignment, attention_lm, byte_bpe, direct_codes, exact_dedup, language, near_dups, packing, quotes, segmentations, sketches, token_counts
 from tallyward.llm.tables import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -61,6 +62,10 @@ def op10_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return direct_codes.round_trip(table(spark, sf_dir, "documents"), WORDS)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), MULTI)
 
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
     "op10_direct_codes": op10_direct_codes,
+    "op11_alignment": op11_alignment,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
