@@ -22,13 +22,16 @@ columns are dropped. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import os
+import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +44,7 @@ PART = 1_000_000
 BLOCK_CHARS = 32_000_000
 SHIFT = 32  # a pair is (id of A) * 2 ** SHIFT + (id of B)
 MARK = "▁"
+BLANK_STRETCH = re.compile(r"\s{1000}")
 OF_B = np.uint32(1 << 31)  # tells ids of B from those of A in a window's key
 
 
@@ -61,32 +65,37 @@ class Spelling:
         self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self.spaced = np.fromiter((p[:1] == b" " for p in pieces), bool, len(pieces))
         self.sizes = self.size.tolist()
+        self.names = list(map(str, range(len(pieces))))
 
     def spell(self, ids: np.ndarray) -> bytes:
         return self.bytes[ragged(self.place[ids], self.size[ids])].tobytes()
 
 
-def align(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[bytes, int, list[int]]:
+def align(a: list[int], b: list[int], of_a: Spelling, of_b: Spelling) -> tuple[bytes, int, list[int]]:
     """One window: its groups as text, how many they are, and its linked pairs."""
-    i = j = from_a = from_b = 0
+    size_a, size_b, name_a, name_b = of_a.sizes, of_b.sizes, of_a.names, of_b.names
+    i = j = 0
     end_a, end_b = size_a[a[0]], size_b[b[0]]
-    groups, pairs = [], []
+    left, right = name_a[a[0]], name_b[b[0]]  # the open group
+    groups, pairs = [], [a[0] << SHIFT | b[0]]
     while True:
-        pairs.append(a[i] << SHIFT | b[j])
         if end_a == end_b:
-            groups.append(",".join(map(str, a[from_a:i + 1])) + "|" + ",".join(map(str, b[from_b:j + 1])))
+            groups.append(f"{left}|{right}")
             i, j = i + 1, j + 1
             if i == len(a):
                 return ";".join(groups).encode(), len(groups), pairs
-            from_a, from_b = i, j
             end_a += size_a[a[i]]
             end_b += size_b[b[j]]
+            left, right = name_a[a[i]], name_b[b[j]]
         elif end_a < end_b:
             i += 1
             end_a += size_a[a[i]]
+            left += "," + name_a[a[i]]
         else:
             j += 1
             end_b += size_b[b[j]]
+            right += "," + name_b[b[j]]
+        pairs.append(a[i] << SHIFT | b[j])
 
 
 class Windows:
@@ -103,7 +112,7 @@ class Windows:
 
     def _add(self, key: bytes, n_a: int) -> int:
         ids = (np.frombuffer(key, np.uint32) & ~OF_B).tolist()
-        text, groups, pairs = align(ids[:n_a], ids[n_a:], self.a.sizes, self.b.sizes)
+        text, groups, pairs = align(ids[:n_a], ids[n_a:], self.a, self.b)
         self.text.append(text)
         self.groups.append(groups)
         self.pairs.extend(pairs)
@@ -137,14 +146,19 @@ class Windows:
 
 class Aligner:
     def __init__(self, path_a: str, path_b: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task has one core
-        self.tok = Tokenizer.from_file(path_a)
-        self.tok.encode_special_tokens = True
+        self.library = tok = Tokenizer.from_file(path_a)
+        tok.encode_special_tokens = True
         alphabet = byte_alphabet()
-        pieces = [b""] * self.tok.get_vocab_size()
-        for token, i in self.tok.get_vocab().items():
+        pieces = [b""] * tok.get_vocab_size()
+        for token, i in tok.get_vocab().items():
             pieces[i] = bytes(alphabet[c] for c in token)
         self.a = Spelling(pieces)
+        # The file's ids ascend as its merges do, so they serve as ranks: tiktoken then gives the same
+        # ids as the file's own library (a test compares both) in less than half the time. Very long
+        # blank stretches exceed its stack; texts with such go to the library.
+        special = set(tok.get_added_tokens_decoder())
+        self.tok = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks={
+            piece: i for i, piece in enumerate(pieces) if i not in special})
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path_b)
         names = [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
         self.b = Spelling([bytes([int(n[3:5], 16)]) if self.sp.is_byte(i) else n.replace(MARK, " ").encode()
@@ -157,13 +171,14 @@ class Aligner:
         """Ids of A and B and their number for each text."""
         own = [list(parts(" " + t, PART)) if self.cuts else [" " + t] for t in texts]
         flat = [p for ps in own for p in ps]
-        a = [x.ids for x in self.tok.encode_batch_fast(flat, add_special_tokens=False)]
+        a = [self.library.encode(p, add_special_tokens=False).ids if BLANK_STRETCH.search(p) else self.tok.encode_ordinary(p)
+             for p in flat]
         b = self.sp.encode([p[1:] for p in flat], num_threads=1)
 
         def one(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
             n = np.fromiter(map(len, lists), np.int64, len(lists))
             text = np.repeat(np.arange(len(own)), [len(p) for p in own])
-            return (np.fromiter((i for ids in lists for i in ids), np.uint32, int(n.sum())),
+            return (np.fromiter(chain.from_iterable(lists), np.uint32, int(n.sum())),
                     np.bincount(text, n, len(own)).astype(np.int64))
 
         return *one(a), *one(b)

@@ -8,6 +8,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from tokenizers import Tokenizer
+
 from tallyward.llm import alignment
 from tallyward.llm.tables import ready, table
 
@@ -22,6 +24,10 @@ def worker():
     return alignment.Aligner(A, B)
 
 
+library = Tokenizer.from_file(A)
+library.encode_special_tokens = True
+
+
 def plain(worker, texts):
     """What the contract says, from whole texts and single bytes."""
     rows, holders = [], defaultdict(set)
@@ -30,7 +36,7 @@ def plain(worker, texts):
         if not text:
             continue
         want = (" " + text).encode()
-        a = worker.tok.encode(" " + text, add_special_tokens=False).ids
+        a = library.encode(" " + text, add_special_tokens=False).ids
         b = worker.sp.encode(text)
         spell_a = [worker.a.spell(np.array([i])) for i in a]
         spell_b = [worker.b.spell(np.array([i])) for i in b]
@@ -117,6 +123,15 @@ def test_memo_is_bounded_and_changes_nothing(worker):
         assert all(list(p) == list(q) for p, q in zip(x, y))
 
 
+def test_ids_of_a_are_the_library_s(worker):
+    points = [chr(c) for c in [*range(0x3100), *range(0x3100, 0x110000, 101)] if not 0xD800 <= c < 0xE000]
+    texts = [*noise(500, 11), *["".join(f"a{c}{c}1{c}!{c} {c}'s" for c in points[i:i + 50]) for i in range(0, len(points), 50)]]
+    want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    blank = "a" + " " * 300_000 + "b\n"
+    assert len(worker.align([blank])[4][0]) == 64
+    assert [worker.tok.encode_ordinary(t) for t in texts] == want
+
+
 def test_windows_of_equal_ids_split_differently(worker):
     """The ids 300, 300, 300 as two of A and one of B, or one and two."""
     a = alignment.Spelling([b"x"] * 300 + [b"ab"])
