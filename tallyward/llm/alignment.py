@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyward.llm.byte_bpe import parts, ragged
-from tallyward.llm.tables import slices, stored
+from tallyward.llm.tables import slices, stored, worker_cache
 
 PART = 1_000_000
 BLOCK_CHARS = 32_000_000
@@ -262,14 +262,12 @@ class Numbering:
         return self.known[np.argsort(self.number)]
 
 
-_MADE: dict[tuple[str, str], Aligner] = {}
-
-
 def aligner(path_a: str, path_b: str) -> Aligner:
     """One aligner for each Python worker."""
-    if (path_a, path_b) not in _MADE:
-        _MADE[path_a, path_b] = Aligner(path_a, path_b)
-    return _MADE[path_a, path_b]
+    made = worker_cache("aligner")
+    if (path_a, path_b) not in made:
+        made[path_a, path_b] = Aligner(path_a, path_b)
+    return made[path_a, path_b]
 
 
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")

@@ -33,7 +33,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.tables import slices
+from tallyward.llm.tables import slices, worker_cache
 
 PART = 1_000_000
 BLOCK = 256
@@ -297,14 +297,12 @@ def parts(text: str, limit: int = PART) -> Iterator[str]:
     yield text[begin:]
 
 
-_MADE: dict[str, ByteBpe] = {}
-
-
 def byte_bpe(path: str) -> ByteBpe:
     """One encoder for each Python worker."""
-    if path not in _MADE:
-        _MADE[path] = ByteBpe(path)
-    return _MADE[path]
+    made = worker_cache("byte_bpe")
+    if path not in made:
+        made[path] = ByteBpe(path)
+    return made[path]
 
 
 def _texts(docs: DataFrame) -> DataFrame:

@@ -15,6 +15,9 @@ import unicodedata
 import numpy as np
 from tokenizers import Tokenizer
 
+from tallyward.llm.tables import worker_cache
+from tallyward.llm.word_hashes import stretches
+
 LETTER, DIGIT, SPACE, OTHER = 0, 1, 2, 3
 TABLED = 0x3000
 END_ID = 2
@@ -114,7 +117,8 @@ def word_starts(points: np.ndarray, kind: np.ndarray, first: np.ndarray) -> np.n
 
 class WordIds:
     """Token ids of whole texts: each distinct pre-token is encoded once by the tokenizers library
-    and found again by its 64-bit hash (about 1e-7 for any two of a million to meet by chance). At
+    and found again by its 64-bit hash (about 1e-7 for any two of a million to meet by chance; blocks of
+    code points are mixed with their places, so no shape of text makes hashes meet). At
     most ``most`` pre-tokens are remembered; texts with special tokens or characters that need full
     normalisation are left to the library as they are."""
 
@@ -124,20 +128,8 @@ class WordIds:
         self.final = np.zeros(max(vocabulary.values()) + 1, bool)
         self.final[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.most = most
-        base = 0x9E3779B97F4A7C15 | 1
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self._powers(1 << 16)
         self._forget()
 
-    def _powers(self, n: int) -> None:
-        with np.errstate(over="ignore"):
-            up = np.full(n, self.base, np.uint64)
-            up[0] = 1
-            self.up = np.multiply.accumulate(up)
-            down = np.full(n, self.inverse, np.uint64)
-            down[0] = 1
-            self.down = np.multiply.accumulate(down)
-
     def _forget(self) -> None:
         """Slot i holds the ids flat[begin[i]:begin[i + 1]]; keys are sorted, slots go with them."""
         self.keys, self.slots = np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -223,13 +215,7 @@ class WordIds:
         stops = np.flatnonzero(stop)
         finish = stops[np.searchsorted(stops, begin, "right")] if len(begin) else begin
         size = finish - begin
-        if n + 1 > len(self.up):
-            self._powers(n + 1)
-        with np.errstate(over="ignore"):
-            running = np.zeros(n + 1, np.uint64)
-            np.cumsum((points.astype(np.uint64) + np.uint64(1)) * self.up[:n], out=running[1:])
-            key = (running[finish] - running[begin]) * self.down[begin]
-            key = key * np.uint64(0xD6E8FEB86659FD93) + size.astype(np.uint64)
+        key = stretches(points.view(np.uint8), 4 * begin, 4 * size)
         keys, at, back = np.unique(key, return_index=True, return_inverse=True)
         slots = self._slots(keys)
         missing = np.flatnonzero(slots < 0)
@@ -252,11 +238,9 @@ class WordIds:
         return ids, counts
 
 
-_MADE: dict = {}
-
-
 def word_ids(path: str) -> WordIds:
     """One encoder for each Python worker."""
-    if path not in _MADE:
-        _MADE[path] = WordIds(path)
-    return _MADE[path]
+    made = worker_cache("word_ids")
+    if path not in made:
+        made[path] = WordIds(path)
+    return made[path]

@@ -35,8 +35,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.tables import slices
-from tallyward.llm.word_hashes import BASE, mix
+from tallyward.llm.tables import slices, worker_cache
+from tallyward.llm.word_hashes import BASE, mix, stretches
 
 BLANK = "▁"
 SAMPLES = 3
@@ -195,14 +195,7 @@ class Batch:
         size = np.diff(np.append(begin, len(points)))
         self.text_of = np.searchsorted(np.cumsum(self.sizes), begin, "right")
         self.place = begin - (np.cumsum(self.sizes) - self.sizes)[self.text_of]
-        with np.errstate(over="ignore"):
-            up = np.full(len(points) + 1, BASE, np.uint64)
-            up[0] = 1
-            down = np.full(len(points) + 1, pow(BASE, -1, 1 << 64), np.uint64)
-            down[0] = 1
-            up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
-            running = np.concatenate([[np.uint64(0)], np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * up[:-1])])
-            key = mix((running[begin + size] - running[begin]) * down[begin] + size.astype(np.uint64))
+        key = stretches(points.astype(np.uint32).view(np.uint8), 4 * begin, 4 * size)
         _, at, self.word = np.unique(key, return_index=True, return_inverse=True)
         own = size[at]
         self.base = np.cumsum(own) - own  # first place of each distinct word in the lattice
@@ -363,13 +356,11 @@ def set_of(found: dict) -> set:
     return found["set"]
 
 
-_MADE: dict = {}
-
-
 def vocabulary(path: str) -> Vocabulary:
-    if path not in _MADE:
-        _MADE[path] = Vocabulary(path)
-    return _MADE[path]
+    made = worker_cache("vocabulary")
+    if path not in made:
+        made[path] = Vocabulary(path)
+    return made[path]
 
 
 def segmentations(texts: list[str], keys: np.ndarray, own: Vocabulary, k: int = SAMPLES) -> Iterator[dict]:

@@ -50,6 +50,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, dict] = {}
+
+
+def worker_cache(name: str) -> dict:
+    """What a Python worker keeps between tasks for one operator. Workers are used again, so whatever
+    another operator has left in this one is dropped first."""
+    for other, held in _HELD.items():
+        if other != name:
+            held.clear()
+    return _HELD.setdefault(name, {})
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or with underscores behind it, as no column of ``df`` is called."""
     taken = {c.lower() for c in df.columns}

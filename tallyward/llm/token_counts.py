@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.pretokens import DIGIT, LETTER, OTHER, SPACE, Alphabet
-from tallyward.llm.tables import slices
+from tallyward.llm.tables import slices, worker_cache
 
 CHUNK = 256
 OFFSET = 64  # a transition is stored as next state * 128 + change of the count + 64
@@ -344,13 +344,11 @@ def _meaning(symbol: int) -> tuple[int, int]:
     return (SPACE if ch in "\t\n\v\f\r " else OTHER), symbol
 
 
-_MADE: dict = {}
-
-
 def transducer(path: str) -> Transducer:
-    if path not in _MADE:
-        _MADE[path] = Transducer(path)
-    return _MADE[path]
+    made = worker_cache("transducer")
+    if path not in made:
+        made[path] = Transducer(path)
+    return made[path]
 
 
 def count_tokens(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

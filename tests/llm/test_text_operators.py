@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyward.llm import attention_lm, direct_codes, language, packing, segmentations, token_counts
+from tallyward.llm import attention_lm, direct_codes, language, packing, segmentations, token_counts, word_hashes
 from tallyward.llm.pretokens import WordIds
 from tallyward.llm.tables import ready, table
 
@@ -271,3 +271,67 @@ def test_segmentations_are_samples_without_replacement():
     for (a, b), m in pairs.items():
         p = share[a] * share[b] / (1 - share[a])
         assert abs(m / n - p) < 5 * (p * (1 - p) / n) ** 0.5 + 1e-3
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_of_any_shape_have_their_own_hash(tok):
+    """A polynomial modulo a power of two cannot tell these two apart."""
+    s, t = thue_morse(2048)
+    texts = [s, t, f"of {s} the", f"of {t} the"]
+    ids, counts = WordIds(WORDS).encode(texts)
+    ends = np.cumsum(counts).tolist()
+    for text, a, b in zip(texts, [0, *ends], ends):
+        assert ids[a:b].tolist() == ids_of(tok, text)
+    found, n = word_hashes.words(texts + ["ab", "a", "b", "abcdefgh", "abcdefghi", "x" * 16, "x" * 17, "é", "e"])
+    assert len(set(found.tolist())) == 2 + 2 + 9 and n.tolist() == [1, 1, 3, 3, *[1] * 9]
+    own = segmentations.vocabulary(PIECES)
+    for got in segmentations.segmentations(texts, np.arange(4), own, 1):
+        assert own.library.decode(got["ids"].tolist()) == texts[got["text"]]
+
+
+def plain_bayes(model, text):
+    """Log prior and likelihood of every language, from one n-gram after the other."""
+    found, _, _ = language.features([text], len(model.weights))
+    total = [float(x) for x in model.prior]
+    for bucket in found.ravel().tolist():
+        for i in range(len(total)):
+            total[i] += float(model.weights[bucket, i])
+    return total
+
+
+def test_naive_bayes_is_computed_as_written(monkeypatch):
+    rng = np.random.default_rng(3)
+    names = [f"l{i:03}" for i in range(100)]
+    weights = np.log(rng.dirichlet(np.ones(64), 100).T).astype(np.float32)
+    model = language.Model(names, np.log(rng.dirichlet(np.ones(100))), weights)
+    texts = [*noise(60, 8), "a" * 400, "x y z"]
+    monkeypatch.setattr(language, "BLOCK", 7)
+    best, score, _ = model.score(texts)
+    for text, got in zip(texts, best.tolist()):
+        total = plain_bayes(model, text)
+        assert total[got] == pytest.approx(max(total), abs=1e-6 * len(text) + 1e-9)
+    assert ((0 < score) & (score <= 1)).all()
+
+
+def test_a_rare_language_wins_where_the_whole_text_says_so():
+    even = np.log(np.full(64, 1 / 64))
+    model = language.Model(["common", "rare"], np.log([0.999, 0.001]), np.stack([even, even + 0.1], axis=1).astype(np.float32))
+    assert model.score(["ab cd " * 30_000])[0].tolist() == [1]
+    assert model.score(["ab"])[0].tolist() == [0]
+    tie = language.Model(["b", "c"], np.log([0.5, 0.5]), np.stack([even, even], axis=1).astype(np.float32))
+    assert tie.score(["some text"])[0].tolist() == [0]
+
+
+def test_language_fills_null_and_clashing_columns(spark):
+    ready(spark)
+    rows = [(i, "the of and " * 5, "en", "x") for i in range(30)] + [(100 + i, "der die das " * 5, "de", "y") for i in range(30)]
+    rows += [(200, "die der das", None, "z"), (201, "12 3", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string")
+    kept = {r["doc_id"]: r for r in language.known_documents(docs).collect()}
+    assert kept[200]["lang"] == "de" and kept[200]["lang_pred"] == "z" and 201 not in kept and len(kept) == 61
