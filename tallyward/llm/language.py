@@ -2,12 +2,13 @@
 
 Counts of hashed 1- to 3-grams are summed for each language, first within a task, then by Spark;
 the model is a matrix of log probabilities with BUCKETS rows and a column for each learned
-language, whatever the number of documents, and is broadcast. Batches are scored by gathering the
-rows of a text's n-grams (a sparse product with its counts) and summing them.
+language, whatever the number of documents, and is broadcast. A batch is a sparse matrix, how often
+each text has each bucket; its product with the model is taken BLOCK entries at a time.
 
-Everything but letters counts as a blank; letters are lower-cased. Neighbouring n-grams overlap
-and are no independent evidence, so the score is the posterior for EVIDENCE n-grams' worth of the
-text's mean.
+Everything but letters counts as a blank; letters are lower-cased. The language is the one of the
+largest log prior and likelihood of the whole text. Neighbouring n-grams overlap and are no
+independent evidence, so only the score (never the language) is tempered: it is that language's
+posterior for EVIDENCE n-grams' worth of the text's mean.
 
 Contract: learns only from rows with a lang, a text and a doc_id whose crc32 mod FOLDS is not
 HELD. Null text, or none with a letter: lang_pred und, score 0. If nothing can be learned, all
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.llm.tables import free_name, slices, stored
+from tallyward.llm.tables import free_name, slices, stored, worker_cache
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -33,6 +34,8 @@ SMOOTHING = 0.5
 EVIDENCE = 64
 FOLDS, HELD = 3, 1
 UNKNOWN = "und"
+CHARACTERS = 250_000  # characters whose n-grams are held at once
+BLOCK = 1 << 14  # entries of the sparse product at a time
 LANGUAGES_HELD = 32  # count vectors that a task keeps before it passes them on
 
 _LETTERS: list[np.ndarray] = []
@@ -93,7 +96,7 @@ def counts(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
             for lang in set(langs):
                 own = [t for t, x in zip(texts, langs) if x == lang]
                 total = held.setdefault(lang, np.zeros(buckets, np.int64))
-                for a, b in slices(own, 1_000_000):
+                for a, b in slices(own, CHARACTERS):
                     found, _, _ = features(own[a:b], buckets)
                     total += np.bincount(found.ravel(), minlength=buckets)
             if len(held) > LANGUAGES_HELD:
@@ -112,15 +115,21 @@ class Model:
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Best language, its score, and whether there is a letter."""
-        found, begin, letters = features(texts, len(self.weights))
+        buckets = len(self.weights)
+        found, begin, letters = features(texts, buckets)
+        text = np.repeat(np.arange(len(texts)) * buckets, np.diff(np.append(begin, found.shape[1])))
+        entries, times = np.unique((found + text).ravel(), return_counts=True)
         total = np.zeros((len(texts), len(self.languages)))
-        for row in found:
-            total += np.add.reduceat(self.weights[row], begin, axis=0)
+        for a in range(0, len(entries), BLOCK):
+            row, bucket = np.divmod(entries[a:a + BLOCK], buckets)
+            first = np.flatnonzero(np.diff(row, prepend=-1))
+            parts = self.weights[bucket] * times[a:a + BLOCK, None].astype(np.float32)
+            total[row[first]] += np.add.reduceat(parts, first, axis=0, dtype=np.float64)
         n = np.diff(np.append(begin, found.shape[1])) * len(found)
-        total = self.prior + total * np.minimum(1, EVIDENCE / n)[:, None]
-        best = total.argmax(axis=1)
-        share = np.exp(total - total.max(axis=1, keepdims=True))
-        return best, 1 / share.sum(axis=1), letters > 0
+        best = (self.prior + total).argmax(axis=1)
+        tempered = self.prior + total * np.minimum(1, EVIDENCE / n)[:, None]
+        share = np.exp(tempered - tempered.max(axis=1, keepdims=True))
+        return best, share[np.arange(len(texts)), best] / share.sum(axis=1), letters > 0
 
 
 def learn(docs: DataFrame, buckets: int = BUCKETS) -> Model | None:
@@ -138,7 +147,7 @@ def learn(docs: DataFrame, buckets: int = BUCKETS) -> Model | None:
     table[found["bucket"], found["lang"].map(column)] = found["n"]
     weights = np.log(table + SMOOTHING) - np.log(table.sum(axis=0) + SMOOTHING * buckets)
     prior = np.log(seen.loc[languages].to_numpy() / seen.sum())
-    return Model(languages, prior, weights)
+    return Model(languages, prior, weights.astype(np.float32))
 
 
 def with_language(docs: DataFrame, model: Model | None, language: str, score: str) -> DataFrame:
@@ -149,10 +158,11 @@ def with_language(docs: DataFrame, model: Model | None, language: str, score: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
+        worker_cache("language")
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
             langs, scores = [], []
-            for a, b in slices(texts, 1_000_000):
+            for a, b in slices(texts, CHARACTERS):
                 if own is None:
                     langs += [UNKNOWN] * (b - a)
                     scores += [0.0] * (b - a)
@@ -174,8 +184,12 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def known_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text has a letter, with all their columns. Where nothing can be
-    learned they are kept too: a table without labels says nothing against its texts."""
+    """The rows of ``docs`` whose text has a letter, with all their columns; where there is a lang
+    column that is null, the predicted language is put in. Where nothing can be learned the rows are
+    kept as they are: a table without labels says nothing against its texts."""
     language, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
-    model = learn(docs) or Model([UNKNOWN], np.zeros(1), np.zeros((1, 1)))  # one language: tells letters only
-    return with_language(docs, model, language, score).filter(F.col(score) > 0).select(*docs.columns)
+    model = learn(docs)
+    told = F.lit(None) if model is None else F.col(language)
+    model = model or Model([UNKNOWN], np.zeros(1), np.zeros((1, 1), np.float32))  # one language: tells letters only
+    return with_language(docs, model, language, score).filter(F.col(score) > 0).select(*[
+        F.coalesce(F.col(c), told).alias(c) if c == "lang" else F.col(c) for c in docs.columns])
