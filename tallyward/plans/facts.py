@@ -64,8 +64,14 @@ def star_join(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return df.withColumns({k: or_unknown(k) for k in keys})
 
 
-def fact_transaction(sources: DataFrame, dims: dict[str, DataFrame], now: str) -> DataFrame:
-    """One row per transaction; real-time rows win over batch rows."""
+# Which of two rows of a transaction is the newer one: the rule of by_priority(), for merges.
+VERSION = (("source_priority", "asc"), ("source_load_ts", "desc"))
+
+
+def fact_transaction(sources: DataFrame, dims: dict[str, DataFrame], now: str, versioned: bool = False) -> DataFrame:
+    """One row per transaction; real-time rows win over batch rows. ``versioned`` adds the columns
+    that tell a merge how new a row is."""
+    version = ["source_priority", F.col("load_ts").alias("source_load_ts")] if versioned else []
     rows = star_join(by_priority(sources, "transaction_id", "source_priority", "load_ts"), dims)
     return with_audit(rows.select(
         surrogate_key("transaction_id").alias("transaction_fact_key"), "transaction_id",
@@ -77,7 +83,7 @@ def fact_transaction(sources: DataFrame, dims: dict[str, DataFrame], now: str) -
         F.lit(None).cast("boolean").alias("is_fraud_confirmed"),
         F.lit(None).cast("int").alias("fraud_label_date_key"),
         F.lit(None).cast("string").alias("fraud_label_source"),
-        F.col("transaction_date").alias("transaction_timestamp")), now)
+        F.col("transaction_date").alias("transaction_timestamp"), *version), now)
 
 
 # Columns that only analysts fill; merges keep them.

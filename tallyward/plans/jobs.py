@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,17 +25,23 @@ from tallyward.plans import staging as ST
 from tallyward.plans.dims import dim_fraud_model
 from tallyward.plans.warehouse import TYPE2, dimensions, warehouse_checks
 from tallyward.schemas import BATCH_COLUMNS, RAW_LOCATIONS, RAW_SCHEMAS
-from tallyward.sources.raw import (
-    Reader, extract_all, labels, load_new_files, load_raw,
-)
-from tallyward.sources.sinks import (
-    _exists, build, current_path, merge_into, merge_upsert, overwrite, publish, register_model,
-)
+from tallyward.sources.ledger import Pending, pending, record
+from tallyward.sources.manifest import build, read_table, snapshot, vacuum
+from tallyward.sources.raw import Reader, extract_all, labels, load_raw
+from tallyward.sources.sinks import _exists, current_path, merge_upsert, overwrite, publish, register_model
 
-_SLASHES = ":/{2,}"
 _TYPE2_KEYS = {"employee": "employee_id", "customer": "customer_id", "account": "account_number"}
 
 
+# Facts are merged: tables with a manifest. Key, partition and the order of a row's versions.
+FACTS = {
+    "fact_transaction": ("transaction_id", "date_key", FT.VERSION),
+    "fact_fraud_detection": ("transaction_id", "detection_date_key", (("detection_timestamp", "desc"),)),
+    "fact_account_balance_snapshot": ("snapshot_key", "snapshot_date_key", ()),
+    "fact_loan_snapshot": ("snapshot_key", "snapshot_date_key", ()),
+}
+
+
 @dataclass
 class Warehouse:
     """Folders of one warehouse below ``root``."""
@@ -57,10 +62,12 @@ class Warehouse:
         return current_path(self.spark, self.base(name))
 
     def has(self, name: str) -> bool:
+        if name in FACTS:
+            return snapshot(self.spark, self.base(name)) is not None
         return _exists(self.spark, self.path(name))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return read_table(self.spark, self.base(name)) if name in FACTS else self.spark.read.parquet(self.path(name))
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         overwrite(df, self.path(name))
@@ -113,48 +120,47 @@ def _realtime(w: Warehouse, name: str) -> DataFrame:
     return load_raw(w.spark, folder, RAW_SCHEMAS[name])
 
 
-def _files(rows: DataFrame) -> set[str]:
-    """The files of a snapshot. Spark writes local names with one slash or three, depending on where."""
-    return {re.sub(_SLASHES, ":/", f) for f in rows.inputFiles()}
+def _new_realtime(w: Warehouse, rows: DataFrame, fact: str, full_refresh: bool) -> Pending:
+    """Of stored stream rows, those in files that neither refresh has merged into ``fact`` yet, unless
+    all are wanted. What comes meanwhile, however old its rows, is merged next time."""
+    if "dt" not in rows.columns:  # no stream has written yet
+        return Pending(rows, w.spark.createDataFrame([], "file string, dt date"))
+    found = pending(rows, w.base(f"merged_files_{fact}"))
+    return Pending(rows, found.files) if full_refresh else found
 
 
-def _new_realtime(w: Warehouse, rows: DataFrame, fact: str, full_refresh: bool) -> DataFrame:
-    """Of stored stream rows, those in files that are not merged yet, unless all are wanted.
+def _remember(w: Warehouse, found: Pending, fact: str) -> None:
+    record(found, w.base(f"merged_files_{fact}"))
 
-    ``rows`` is a snapshot: its files were listed when it was made. _remember() keeps just these
-    after the merge, so a file that comes meanwhile, however old its rows, is merged next time.
-    """
-    mark = f"merged_files_{fact}"
-    if full_refresh or not w.has(mark):
-        return rows
-    merged = {r[0] for r in w.read(mark).collect()}  # names of files, which the driver lists anyway
-    fresh = sorted(_files(rows) - merged)
-    name = F.regexp_replace("_metadata.file_path", _SLASHES, ":/")
-    return rows.filter(name.isin(fresh) if fresh else F.lit(False))
+
+def _merge(w: Warehouse, name: str, df: DataFrame, full_refresh: bool = False) -> None:
+    key, partition, version = FACTS[name]
+    build(df, w.base(name), key, partition, full_refresh, FT.LABELS if name == "fact_transaction" else (), version)
 
 
-def _remember(w: Warehouse, rows: DataFrame, fact: str) -> None:
-    files = w.spark.createDataFrame([(f,) for f in sorted(_files(rows))], "file string")
-    w.publish(f"merged_files_{fact}", files)
+def write_back(w: Warehouse, decisions: DataFrame, source: str = "ANALYST") -> None:
+    """Analysts' decisions as labels of stored transactions; rows without one are left alone."""
+    decided = FT.one_decision(decisions).filter("is_confirmed_fraud is not null").select("transaction_id")
+    rows = w.read("fact_transaction").join(decided, "transaction_id", "left_semi")
+    _merge(w, "fact_transaction", FT.label_writeback(rows, decisions, w.as_of, source))
 
 
 def _build_facts(w: Warehouse, staged, dims, full_refresh: bool) -> dict[str, DataFrame]:
     # Detections are listed first: the stream writes them after their transactions.
     detections = _realtime(w, "realtime_fraud_detection")
     transactions = _realtime(w, "realtime_transaction")
-    stream = ST.stage_realtime_transaction(_new_realtime(w, transactions, "fact_transaction", full_refresh))
-    detection = ST.stage_realtime_detection(detections)
-    fresh = ST.stage_realtime_detection(_new_realtime(w, detections, "fact_fraud_detection", full_refresh))
+    moved = _new_realtime(w, transactions, "fact_transaction", full_refresh)
+    found = _new_realtime(w, detections, "fact_fraud_detection", full_refresh)
+    stream = ST.stage_realtime_transaction(moved.rows)
+    fresh = ST.stage_realtime_detection(found.rows)
     registry = w.read("model_registry") if w.has("model_registry") else None
-    model = w.publish("dim_fraud_model", dim_fraud_model(detection, registry, w.now))
+    model = w.publish("dim_fraud_model", dim_fraud_model(ST.stage_realtime_detection(detections), registry, w.now))
     sources = FT.union_sources(
         FT.realtime_source(stream), FT.batch_source(staged["transaction"], staged["account"]))
-    build(FT.fact_transaction(sources, dims, w.now), w.path("fact_transaction"),
-          "transaction_id", "date_key", full_refresh, FT.LABELS)
-    build(FT.fact_fraud_detection(fresh, w.read("fact_transaction"), model, w.now),
-          w.path("fact_fraud_detection"), "transaction_id", "detection_date_key", full_refresh)
-    _remember(w, transactions, "fact_transaction")
-    _remember(w, detections, "fact_fraud_detection")
+    _merge(w, "fact_transaction", FT.fact_transaction(sources, dims, w.now, versioned=True), full_refresh)
+    _merge(w, "fact_fraud_detection", FT.fact_fraud_detection(fresh, w.read("fact_transaction"), model, w.now), full_refresh)
+    _remember(w, moved, "fact_transaction")
+    _remember(w, found, "fact_fraud_detection")
     snapshots = {
         "fact_account_balance_snapshot": FT.fact_account_balance_snapshot(
             staged["account"], staged["transaction"], dims["customer"], dims["account"], w.as_of, w.now),
@@ -162,7 +168,7 @@ def _build_facts(w: Warehouse, staged, dims, full_refresh: bool) -> dict[str, Da
             staged["loan"], dims["customer"], dims["branch"], w.as_of, w.now),
     }
     for name, df in snapshots.items():
-        build(df, w.path(name), "snapshot_key", "snapshot_date_key", full_refresh)
+        _merge(w, name, df, full_refresh)
     names = ("fact_transaction", "fact_fraud_detection", *snapshots)
     return {**{n: w.read(n) for n in names}, "dim_fraud_model": model}
 
@@ -194,36 +200,37 @@ def batch_refresh(w: Warehouse) -> dict[str, DataFrame]:
 
 
 def realtime_refresh(w: Warehouse) -> dict[str, DataFrame]:
-    """Merge stream files that were not seen before into the two stream-fed facts."""
-    spark = w.spark
+    """Merge the stream files that no refresh has merged yet into the two stream-fed facts."""
     dims = {n: w.read(f"dim_{n}") for n in
             ("customer", "account", "transaction_type", "merchant", "atm", "card")}
-
-    def merge_transactions(rows: DataFrame, _: int) -> None:
-        staged = ST.stage_realtime_transaction(with_source_columns(rows))
-        fact = FT.fact_transaction(FT.realtime_source(staged), dims, w.now)
-        merge_into(fact, w.path("fact_transaction"), "transaction_id", "date_key", FT.LABELS)
-
-    def merge_detections(rows: DataFrame, _: int) -> None:
-        staged = ST.stage_realtime_detection(with_source_columns(rows))
-        registry = spark.read.parquet(w.path("model_registry")) if w.has("model_registry") else None
+    detections = _realtime(w, "realtime_fraud_detection")  # listed first, as in a batch
+    moved = _new_realtime(w, _realtime(w, "realtime_transaction"), "fact_transaction", False)
+    if not moved.is_empty():
+        staged = ST.stage_realtime_transaction(with_source_columns(moved.rows))
+        _merge(w, "fact_transaction", FT.fact_transaction(FT.realtime_source(staged), dims, w.now, versioned=True))
+        _remember(w, moved, "fact_transaction")
+    found = _new_realtime(w, detections, "fact_fraud_detection", False)
+    if not found.is_empty():
+        staged = ST.stage_realtime_detection(with_source_columns(found.rows))
+        registry = w.read("model_registry") if w.has("model_registry") else None
         model = dim_fraud_model(staged, registry, w.now)
-        if w.has("dim_fraud_model"):  # the models of this batch, merged into those known
+        if w.has("dim_fraud_model"):  # the models of these files, merged into those known
             model = merge_upsert(w.read("dim_fraud_model"), model, "model_key")
         model = w.publish("dim_fraud_model", model)
-        fact = FT.fact_fraud_detection(staged, w.read("fact_transaction"), model, w.now)
-        merge_into(fact, w.path("fact_fraud_detection"), "transaction_id", "detection_date_key")
-
-    for name, sink in (("realtime_transaction", merge_transactions),
-                       ("realtime_fraud_detection", merge_detections)):
-        folder = f"{w.root}/{RAW_LOCATIONS[name]}"
-        if _exists(spark, folder):
-            load_new_files(spark, folder, RAW_SCHEMAS[name], f"{w.root}/checkpoints/{name}", sink)
+        _merge(w, "fact_fraud_detection", FT.fact_fraud_detection(staged, w.read("fact_transaction"), model, w.now))
+        _remember(w, found, "fact_fraud_detection")
     models = {n: w.read(n) for n in ("fact_transaction", "fact_fraud_detection", "dim_fraud_model")
               if w.has(n)}
     return {"report": dq_report(warehouse_checks(models)), **models}
 
 
+def tidy(w: Warehouse) -> None:
+    """Drop what old versions of the facts consist of. No other job may run meanwhile."""
+    for name in FACTS:
+        if w.has(name):
+            vacuum(w.spark, w.base(name))
+
+
 def with_source_columns(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_SOURCE_FILE", F.coalesce("_SOURCE_FILE", F.lit("stream")))
 

@@ -1,4 +1,4 @@
-"""Writing: RAW batches, the partitioned lake, table rebuilds and merges on a key."""
+"""Writing: RAW batches, the partitioned lake, rebuilds and published versions of small tables."""
 
 from __future__ import annotations
 
@@ -72,65 +72,11 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key, keep: tuple[str, ..
     return kept.unionByName(updates)
 
 
-def in_partitions(df: DataFrame, partition: str, values: list) -> DataFrame:
-    """Rows of the named partitions; None names the partition of NULL."""
-    here = F.col(partition).isin([v for v in values if v is not None])
-    return df.filter(here | F.col(partition).isNull() if None in values else here)
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
 
 
-def _drop_folder(spark: SparkSession, path: str) -> None:
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
-
-
-def merge_into(updates: DataFrame, path: str, key: str, partition: str,
-               keep: tuple[str, ...] = ()) -> None:
-    """Merge ``updates`` into the Parquet table at ``path``, rewriting only touched partitions.
-
-    Touched are the partitions the updates go to and those that hold an older version of
-    their rows; those are found by a scan of the key column alone. The merged partitions are
-    first written beside the table, then swapped in, so the table is never read while it is
-    overwritten. Running the same merge again gives the same table. ``keep`` columns of
-    stored rows survive updates that leave them NULL.
-    """
-    spark = updates.sparkSession
-    if not _exists(spark, path):
-        overwrite(updates, path, [partition])
-        return
-    target = spark.read.parquet(path)
-    old = target.select(key, partition).join(updates.select(key), key, "left_semi").select(partition)
-    # Partition values, not rows: as many as the table has days.
-    touched = [r[0] for r in old.union(updates.select(partition)).distinct().collect()]
-    merged = merge_upsert(in_partitions(target, partition, touched),
-                          updates.select(*target.columns), key, keep)
-
-    side = f"{path.rstrip('/')}__merge"
-    overwrite(merged, side, [partition])
-    ready = spark.read.schema(target.schema).parquet(side)
-    (ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition).parquet(path))
-    filled = {r[0] for r in ready.select(partition).distinct().collect()}
-    for value in set(touched) - filled:
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        _drop_folder(spark, f"{path}/{partition}={name}")
-    _drop_folder(spark, side)
-    spark.catalog.refreshByPath(path)
-
-
-def build(df: DataFrame, path: str, key: str, partition: str, full_refresh: bool,
-          keep: tuple[str, ...] = ()) -> None:
-    """Rebuild the table or merge into it."""
-    if full_refresh:
-        overwrite(df, path, [partition])
-    else:
-        merge_into(df, path, key, partition, keep)
-
-
 def current_path(spark: SparkSession, path: str) -> str:
     """Folder of a published table's newest version; ``path`` itself while there is none."""
     for pointer in (f"{path}__current", f"{path}__retired"):  # retired: a switch was cut short

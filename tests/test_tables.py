@@ -81,28 +81,6 @@ def test_latest_prunes_before_the_shuffle(bank):
     assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")
 
 
-FACT = "id string, day int, v int"
-
-
-def test_merge_moves_rows_between_partitions_and_repeats(spark, tmp_path):
-    path = str(tmp_path / "fact")
-    K.build(spark.createDataFrame([("a", 1, 1), ("b", 2, 2), ("c", 3, 3)], FACT), path, "id", "day", True)
-    untouched = {f for d, _, fs in os.walk(f"{path}/day=2") for f in fs if f.endswith(".parquet")}
-    updates = spark.createDataFrame([("a", 3, 10), ("d", 4, 40)], FACT)
-    for _ in range(2):
-        K.build(updates, path, "id", "day", False)
-        got = rows(spark.read.parquet(path).select("id", "day", "v"))
-        assert got == [("a", 3, 10), ("b", 2, 2), ("c", 3, 3), ("d", 4, 40)]
-    assert {f for d, _, fs in os.walk(f"{path}/day=2") for f in fs if f.endswith(".parquet")} == untouched
-    assert not os.path.exists(f"{path}/day=1") and not os.path.exists(f"{path}__merge")
-
-
-def test_merge_into_a_new_table(spark, tmp_path):
-    path = str(tmp_path / "fresh")
-    K.build(spark.createDataFrame([("a", 1, 1)], FACT), path, "id", "day", False)
-    assert rows(spark.read.parquet(path).select("id", "v")) == [("a", 1)]
-
-
 def test_register_model(spark):
     reg = spark.createDataFrame([("m", "1", True), ("m", "0", False)], "n string, v string, is_active boolean")
     new = spark.createDataFrame([("m", "2", False)], "n string, v string, is_active boolean")
@@ -216,17 +194,6 @@ def test_staging_drops_blank_keys_and_other_batches(bank):
     assert stg.count() == bank.table("customer").count()
 
 
-def test_merge_keeps_labels_and_the_null_partition(spark, tmp_path):
-    from tallyward.sources.sinks import merge_into, overwrite
-
-    schema = "id string, day int, amount int, label boolean"
-    path = str(tmp_path / "fact")
-    overwrite(spark.createDataFrame([("a", 1, 1, True), ("b", None, 2, False), ("c", 1, 3, None)], schema), path, ["day"])
-    merge_into(spark.createDataFrame([("a", 2, 10, None), ("d", None, 4, None)], schema), path, "id", "day", ("label",))
-    got = {tuple(r) for r in spark.read.parquet(path).select("id", "day", "amount", "label").collect()}
-    assert got == {("a", 2, 10, True), ("b", None, 2, False), ("c", 1, 3, None), ("d", None, 4, None)}
-
-
 def test_publish_switches_versions(spark, tmp_path):
     from tallyward.sources.sinks import current_path, publish
 
