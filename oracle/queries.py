@@ -34,6 +34,13 @@ Q["merge_keeps_labels"] = """
     select transaction_id, cast(amount * 2 as double) as amount, is_fraud_confirmed, fraud_label_date_key, fraud_label_source
     from f_labelled
 """
+Q["refresh_twice"] = """
+    select f.transaction_id, f.date_key, f.customer_key, cast(f.amount as double) as amount, f.is_night_transaction,
+        case when f.transaction_id in (select transaction_id from stg_rt) then 1 else 2 end as source_priority,
+        l.is_fraud_confirmed, l.fraud_label_date_key, l.fraud_label_source
+    from f_txn f left join (select * from f_labelled where transaction_id in (select transaction_id from stg_transaction)) l
+        on f.transaction_id = l.transaction_id
+"""
 CTES["three_loads"] = """
     select customer_id, city, scd2_hash, date '2023-12-31' as day from stg_customer_b1
     union all select customer_id, city, scd2_hash, date '2024-01-15' from stg_customer
@@ -235,6 +242,8 @@ Q["dedup_priority"] = """
 Q["dedup_latest_detection"] = q("transaction_id processing_timestamp#t fraud_score model_version", "latest_det")
 _FIGURES = "transactions_last_1h transactions_last_24h amount_last_1h#d amount_last_24h#d avg_amount_24h#d"
 Q["velocity_1h_24h"] = q(f"transaction_id account_number transaction_date#t amount#d {_FIGURES}", "txn_velocity")
+Q["velocity_microbatches"] = q(f"transaction_id account_number transaction_date#t amount#d {_FIGURES}", "txn_velocity",
+                               "where transaction_date is not null")
 Q["velocity_defaults"] = """
     select transaction_id, cast(amount as double) as amount, 1 as transactions_last_1h, 1 as transactions_last_24h,
         cast(amount as double) as amount_last_1h, cast(amount as double) as amount_last_24h,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 import pandas as pd
@@ -31,9 +32,13 @@ from tallyward.schemas import BATCH_COLUMNS, RAW_SCHEMAS
 from tallyward.session import checkpoint_dir, cut_lineage
 from tallyward.sources import adapter as A
 from tallyward.sources import cdc as C
+from tallyward.sources import manifest as MF
 from tallyward.sources import raw as R
 from tallyward.sources import sinks as K2
 from tallyward.plans.staging import BATCH_MODELS
+from tallyward.streaming import keyed as KY
+
+MICROBATCHES = 4
 
 # Training results per session and input, so that three queries share one training.
 _TRAINED: dict = {}
@@ -100,6 +105,30 @@ def merge_keeps_labels(b: Bank) -> DataFrame:
     return merged.select("transaction_id", "amount", *FT.LABELS)
 
 
+def refresh_twice(b: Bank) -> DataFrame:
+    """Load, labels, a stream update, an older file that comes late, a second batch: what a full
+    rebuild gives, since a merge knows which row is newer."""
+    path = f"{checkpoint_dir(b.spark)}/refresh-{uuid.uuid4().hex}"
+
+    def fact(source: DataFrame, name: str) -> DataFrame:
+        FT.fact_transaction(source, b.dims, b.now, versioned=True).write.parquet(f"{path}/{name}")
+        return b.spark.read.parquet(f"{path}/{name}")
+
+    batch, stream = fact(b.batch_source, "batch"), fact(b.realtime_source, "stream")
+    late = stream.withColumns({
+        "amount": (F.col("amount") * 3).cast("decimal(18,2)"), "source_load_ts": F.col("source_load_ts") - F.expr("INTERVAL 1 DAY")})
+
+    def merge(rows: DataFrame) -> None:
+        MF.merge_table(rows, f"{path}/fact", "transaction_id", "date_key", FT.LABELS, FT.VERSION)
+
+    MF.rebuild_table(batch, f"{path}/fact", "date_key")
+    merge(FT.label_writeback(MF.read_table(b.spark, f"{path}/fact"), b.decisions, b.as_of, "ANALYST"))
+    for rows in (stream, late, batch):
+        merge(rows)
+    return MF.read_table(b.spark, f"{path}/fact").select(
+        "transaction_id", "date_key", "customer_key", "amount", "is_night_transaction", "source_priority", *FT.LABELS)
+
+
 def scd2_three_loads(b: Bank) -> DataFrame:
     """Customers loaded, changed and changed back: no two versions share a key."""
     def load(batch: str, day: str) -> DataFrame:
@@ -206,6 +235,31 @@ def velocity_1h_24h(b: Bank) -> DataFrame:
     return b.moving.select("transaction_id", "account_number", "transaction_date", "amount", *V.FIGURES)
 
 
+def velocity_microbatches(b: Bank) -> DataFrame:
+    """The change events by event time in MICROBATCHES files, each followed by repeats of the file
+    before, through the keyed stream; the last output of every dated transaction. State and files lie
+    below the checkpoint folder."""
+    root = f"{checkpoint_dir(b.spark)}/microbatches-{uuid.uuid4().hex}"
+    at = P.parse_datetime(F.get_json_object("value", "$.TransactionDate"))
+    timed = b.cdc.withColumn("_at", F.coalesce(F.unix_micros(at), F.lit(0)))
+    cuts = timed.agg(F.percentile_approx("_at", [i / MICROBATCHES for i in range(1, MICROBATCHES)], 10_000)).first()[0] or []
+    part = reduce(lambda x, cut: x + (F.col("_at") > cut).cast("int"), cuts, F.lit(0))
+    parts = timed.select("value", part.alias("part"))
+    again = parts.filter(F.xxhash64("value") % 5 == 0).select("value", (F.col("part") + 1).alias("part"))
+    parts.union(again).write.partitionBy("part").text(f"{root}/events")
+    out = f"{root}/figures"
+    for i in range(MICROBATCHES + 1):  # a file group each; every run goes on where the last one stopped
+        source = f"{root}/source/{i}"
+        b.spark.read.text(f"{root}/events/part={i}").write.text(source)
+        figures = KY.keyed_figures(C.read_cdc(b.spark, "text", {"path": f"{root}/source/*"}))
+        (KY.with_state_store(b.spark, figures.writeStream).format("parquet").option("path", out)
+         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    rows = b.spark.read.schema(figures.schema).parquet(out).filter("counted")
+    typed = E.live_transactions(C.parse_cdc(rows)[0]).select("transaction_id", "account_number", "transaction_date", "amount")
+    keyed = rows.select(F.trim(F.get_json_object("value", "$.TransactionID")).alias("transaction_id"), *V.FIGURES)
+    return typed.filter("transaction_date is not null").join(keyed, "transaction_id")
+
+
 def velocity_defaults(b: Bank) -> DataFrame:
     return b.moving.filter(P.is_blank("account_number")).select("transaction_id", "amount", *V.FIGURES)
 
@@ -471,6 +525,7 @@ QUERIES = {
     "load_summary": load_summary,
     "load_totals": load_totals,
     "merge_keeps_labels": merge_keeps_labels,
+    "refresh_twice": refresh_twice,
     "scd2_three_loads": scd2_three_loads,
     "labelled_transactions": lambda b: R.labels(b.fact_labelled),
     "detections_split": detections_split,
@@ -504,6 +559,7 @@ QUERIES = {
     "dedup_priority": dedup_priority,
     "dedup_latest_detection": dedup_latest_detection,
     "velocity_1h_24h": velocity_1h_24h,
+    "velocity_microbatches": velocity_microbatches,
     "velocity_defaults": velocity_defaults,
     "scd2_history": scd2_history,
     "scd2_apply": scd2_apply,
