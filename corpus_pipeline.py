@@ -15,7 +15,8 @@ from tallyward.llm.tables import new_path, ready, table
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3. Rejects documents without a letter (or text), and only those, labelled or not."""
+    """Operator 3. Rejects documents without a letter (or text), and only those, labelled or not; a
+    null lang becomes the predicted one."""
     ready(spark)
     return language.known_documents(docs)
 
