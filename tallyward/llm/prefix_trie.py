@@ -18,8 +18,8 @@ conversations is cut into pieces by range partitioning; only pieces at the edges
 again, streamed in order through one digest.
 
 Contract: null role or text counts as empty; null turns come first; turns of equal number are
-ordered by the SHA-256 of role and text. Rows without conv_id belong to no conversation and are left out. Extra columns are dropped.
-An empty table has no nodes, not even a root. Node names are 120 bits of SHA-256 hashes.
+ordered by the SHA-256 of role and text. Rows without conv_id belong to no conversation and are left
+out. Extra columns are dropped. An empty table has no nodes, not even a root. Node names are 120 bits of SHA-256 hashes.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.tables import stored
