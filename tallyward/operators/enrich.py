@@ -21,8 +21,9 @@ def _latest(raw: DataFrame, key: str) -> DataFrame:
     return latest_per_key(raw.filter(~is_blank(key)), key, [F.col("_LOAD_TS").desc_nulls_last()])
 
 
-def live_transactions(raw: DataFrame) -> DataFrame:
-    """Typed view of change events or RAW rows; text stays as sent, as features compare it raw."""
+def live_transactions(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Typed view of change events or RAW rows; text stays as sent, as features compare it raw.
+    The columns ``carry`` come along."""
     def maybe(name):
         return F.col(name) if name in raw.columns else F.lit(None).cast("string")
 
@@ -51,6 +52,7 @@ def live_transactions(raw: DataFrame) -> DataFrame:
         F.col("IPAddress").alias("ip_address"),
         F.coalesce(number(maybe("BalanceBefore")), F.lit(0)).cast("decimal(18,2)").alias("balance_before"),
         F.coalesce(number(maybe("BalanceAfter")), F.lit(0)).cast("decimal(18,2)").alias("balance_after"),
+        *carry,
     )
 
 

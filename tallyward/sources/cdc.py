@@ -26,8 +26,8 @@ def read_cdc(spark: SparkSession, fmt: str = "kafka", options: dict | None = Non
     return spark.readStream.format("text").options(**options).load(path)
 
 
-def parse_cdc(df: DataFrame, schema: T.StructType = CDC_SCHEMA) -> tuple[DataFrame, DataFrame]:
-    """Split into parsed rows and rows that are not valid JSON objects.
+def parse_cdc(df: DataFrame, schema: T.StructType = CDC_SCHEMA, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Split into parsed rows, with the columns ``carry`` of ``df``, and rows that are not valid JSON objects.
 
     ``inline`` makes each field a real column, so a message is parsed once and not once per
     field that a later step reads.
@@ -35,9 +35,9 @@ def parse_cdc(df: DataFrame, schema: T.StructType = CDC_SCHEMA) -> tuple[DataFra
     wide = T.StructType(list(schema.fields) + [T.StructField(_CORRUPT, T.StringType())])
     message = F.from_json(
         "value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    parsed = df.select("value", F.inline(F.array(message)))
+    parsed = df.select("value", *carry, F.inline(F.array(message)))
     bad = is_blank("value") | F.col(_CORRUPT).isNotNull()
-    return parsed.filter(~bad).select(*schema.names), parsed.filter(bad).select("value")
+    return parsed.filter(~bad).select(*schema.names, *carry), parsed.filter(bad).select("value")
 
 
 def filter_ops(df: DataFrame) -> DataFrame:

@@ -1,8 +1,15 @@
 """The streaming job: change events to scored transactions in the lake.
 
-State is a table: the sliding figures of a micro-batch are taken over its rows and the last
-24 hours of stored rows of the same accounts, with the batch operator. A late row is right
-for itself and flagged; rows written before it keep their figures.
+start() takes the sliding figures from keyed state (``keyed.py``): no micro-batch reads or lists what
+was stored before it. Repeats of a message within their time to live are dropped there, late rows are
+flagged and kept. The state knows a transaction by account and id: an update that names another account
+leaves the earlier one in that account's ring. A checkpoint made without this state can't be continued;
+start a new one, under a new ``run``.
+
+process_batch() also takes messages without figures, such as a backfill or the repair of one
+micro-batch. It then measures them, with the batch operator, together with the last 24 hours of stored
+rows of their accounts. Either way a late row is right for itself and flagged; rows written before it
+keep their figures.
 """
 
 from __future__ import annotations
@@ -22,14 +29,16 @@ from tallyward.operators.dedup import latest_per_key
 from tallyward.operators.enrich import enrich_account, enrich_customer, live_transactions
 from tallyward.operators.features import DEFAULTS, Thresholds, features
 from tallyward.operators.scoring import DEFAULT_THRESHOLD, ModelId, split_streams
-from tallyward.operators.velocity import HOT_ROWS, velocity_of_batch
+from tallyward.operators.velocity import FIGURES, HOT_ROWS, velocity_of_batch
 from tallyward.schemas import RAW_LOCATIONS, RAW_SCHEMAS
 from tallyward.sources.cdc import filter_ops, parse_cdc
 from tallyward.sources.raw import load_raw
 from tallyward.sources.sinks import _exists, stringify, write_lake
+from tallyward.streaming.keyed import keyed_figures, with_state_store
 
 LATE_AFTER = timedelta(minutes=10)
 CLOCK_SKEW = timedelta(days=2)
+MEASURED = (*FIGURES, "is_late")  # what keyed state adds to a message
 Loader = Callable[[], DataFrame]
 
 
@@ -46,6 +55,7 @@ class StreamConfig:
     threshold: float = DEFAULT_THRESHOLD
     thresholds: Thresholds = DEFAULTS
     hot_rows: int = HOT_ROWS
+    ring: dict = field(default_factory=dict)  # limits of the keyed state other than its own
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)
     run: str = "0"  # one name for each checkpoint: micro-batches are numbered within it
 
@@ -106,13 +116,18 @@ def score_events(events: DataFrame, history: DataFrame | None, config: StreamCon
                  processing_ts: str) -> DataFrame:
     """Typed, enriched, measured and scored rows of parsed change events.
 
-    Several events of one transaction collapse to the latest.
+    Several events of one transaction collapse to the latest. Events that have the columns MEASURED
+    keep them; others are measured together with ``history``.
     """
-    txn = live_transactions(filter_ops(events))
+    measured = set(MEASURED) <= set(events.columns)
+    txn = live_transactions(filter_ops(events), MEASURED if measured else ())
     txn = latest_per_key(txn, "transaction_id", [F.col("transaction_date").desc_nulls_last()])
-    if history is None:
-        history = txn.limit(0).select("transaction_id", "account_number", "transaction_date", "amount")
-    moving = velocity_of_batch(txn, history, hot_rows=config.hot_rows)
+    if measured:
+        moving = txn
+    else:
+        if history is None:
+            history = txn.limit(0).select("transaction_id", "account_number", "transaction_date", "amount")
+        moving = velocity_of_batch(txn, history, hot_rows=config.hot_rows)
     rich = enrich_customer(enrich_account(moving, config.accounts()), config.customers())
     full = features(rich, processing_ts[:10], config.thresholds)
     full = full.withColumn("processing_timestamp", F.lit(processing_ts).cast("timestamp"))
@@ -129,32 +144,46 @@ def batch_stamp(spark: SparkSession, config: StreamConfig, batch_id: int) -> str
     return stamp
 
 
+def _with_late(scored: DataFrame, history: DataFrame | None, newest) -> DataFrame:
+    """Flag the rows more than LATE_AFTER behind the newest of ``newest`` and the history."""
+    seen = newest
+    if history is not None:
+        stored = history.agg(F.max("transaction_date")).first()[0]
+        seen = max([t for t in (seen, stored) if t is not None], default=None)
+    if seen is None:
+        return scored.withColumn("is_late", F.lit(False))
+    return scored.withColumn("is_late", F.coalesce(F.col("transaction_date") < F.lit(seen - LATE_AFTER), F.lit(False)))
+
+
+def _measured_here(good: DataFrame, batch_id: int, config: StreamConfig, stamp: str) -> DataFrame:
+    """Scored rows of messages without figures, which take them from stored rows."""
+    spark = good.sparkSession
+    at = parse_datetime("TransactionDate")
+    span = good.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
+    history = stored_history(spark, config.transactions, batch_id, config.run)
+    if history is not None:
+        first_day = (span["first"] - timedelta(days=1)).date() if span["first"] else None
+        history = _typed_history(history, first_day)
+    return _with_late(score_events(good, history, config, stamp), history, span["last"])
+
+
 def process_batch(batch: DataFrame, batch_id: int, config: StreamConfig) -> None:
     """One micro-batch: both outputs go to folders named after it, so a replay overwrites."""
     started = monotonic()
-    spark = batch.sparkSession
-    stamp = batch_stamp(spark, config, batch_id)
+    measured = set(MEASURED) <= set(batch.columns)
     batch = batch.persist()
     try:
-        good, bad = parse_cdc(batch)
+        if measured and batch.isEmpty():  # only timers or repeats
+            return
+        stamp = batch_stamp(batch.sparkSession, config, batch_id)
+        good, bad = parse_cdc(batch, carry=MEASURED if measured else ())
         nameless = is_blank("TransactionID")  # no id: nothing to merge or score it by
-        bad = bad.unionByName(good.filter(nameless).select(F.to_json(F.struct(*good.columns)).alias("value")))
+        fields = [c for c in good.columns if c not in MEASURED]
+        bad = bad.unionByName(good.filter(nameless).select(F.to_json(F.struct(*fields)).alias("value")))
         good = good.filter(~nameless)
         write_lake(bad, config.quarantine, stamp, batch_id, config.run)
-        at = parse_datetime("TransactionDate")
-        span = good.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
-        history = stored_history(spark, config.transactions, batch_id, config.run)
-        seen = span["last"]
-        if history is not None:
-            first_day = (span["first"] - timedelta(days=1)).date() if span["first"] else None
-            history = _typed_history(history, first_day)
-            newest = history.agg(F.max("transaction_date")).first()[0]
-            seen = max([t for t in (seen, newest) if t is not None], default=None)
-        scored = score_events(good, history, config, stamp)
-        limit = seen - LATE_AFTER if seen else None
-        late = F.lit(False) if limit is None else F.coalesce(
-            F.col("transaction_date") < F.lit(limit), F.lit(False))
-        scored = scored.withColumn("is_late", late).persist()
+        scored = score_events(good, None, config, stamp) if measured else _measured_here(good, batch_id, config, stamp)
+        scored = scored.persist()
         n = scored.count()
         latency = (monotonic() - started) * 1000.0 / max(n, 1)
         scored_ms = scored.withColumn("inference_latency_ms", F.lit(round(latency, 3)))
@@ -168,10 +197,10 @@ def process_batch(batch: DataFrame, batch_id: int, config: StreamConfig) -> None
 
 def start(stream: DataFrame, config: StreamConfig, checkpoint: str, trigger: dict | None = None):
     """Start the job. ``trigger`` holds writer trigger arguments, such as
-    ``{"processingTime": "60 seconds"}`` (default) or ``{"availableNow": True}``. Repeats
-    need no state: rows of one id collapse in process_batch() and against the stored rows."""
+    ``{"processingTime": "60 seconds"}`` (default) or ``{"availableNow": True}``."""
+    until_done = bool((trigger or {}).get("availableNow") or (trigger or {}).get("once"))
     return (
-        stream.writeStream
+        with_state_store(stream.sparkSession, keyed_figures(stream, **config.ring).writeStream, until_done)
         .foreachBatch(lambda df, batch_id: process_batch(df, batch_id, config))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "60 seconds"}))

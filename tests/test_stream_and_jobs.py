@@ -123,6 +123,31 @@ def test_events_without_id_are_quarantined_and_runs_kept_apart(spark, bank, tmp_
     assert {r[0] for r in spark.read.parquet(cfg.transactions).select("TransactionID").collect()} == {"a", "b"}
 
 
+def test_running_job_reads_no_history(spark, bank, tmp_path, monkeypatch):
+    """A replay, a late row and a replay after expiry, each in a run that continues the checkpoint."""
+    monkeypatch.setattr(ST, "stored_history", lambda *_: pytest.fail("stored rows read"))
+    src = tmp_path / "src"
+    src.mkdir()
+    lake = str(tmp_path / "lake")
+
+    def send(n, *events, **ring):
+        (src / f"{n}.txt").write_text("".join(e[0] + "\n" for e in events))
+        cfg = config(spark, bank, lake, ring=ring)
+        ST.start(read_cdc(spark, "text", {"path": str(src)}), cfg, str(tmp_path / "ckpt"), {"availableNow": True}).awaitTermination()
+        rows = spark.read.parquet(f"{lake}/realtime/transactions").select("mb", "TransactionID", "is_late", "transactions_last_1h", "amount_last_1h")
+        return {r["TransactionID"]: (r["is_late"], r["transactions_last_1h"], float(r["amount_last_1h"]))
+                for r in rows.filter(F.col("mb") == n).collect()}
+
+    a, b = _event("a", "2024-02-01T09:00:00"), _event("b", "2024-02-01T09:30:00", "7")
+    assert send(0, a, b, a) == {"a": ("true", "1", 5.0), "b": ("false", "2", 12.0)}
+    # The replay of b goes; the late row c stays, flagged, and counts from then on.
+    assert send(1, b, _event("c", "2024-02-01T09:15:00", "1")) == {"c": ("true", "2", 6.0)}
+    assert send(2, a, b) == {}  # nothing but replays: nothing is written
+    # After its time to live a replay is an update: it is written again and counts once.
+    assert send(3, b, _event("d", "2024-02-01T09:40:00", "2"), replay_hours=0) == {"b": ("false", "3", 13.0), "d": ("false", "4", 15.0)}
+    assert {r["TransactionID"] for r in ST.read_realtime(spark, lake, "realtime_fraud_detection").select("TransactionID").collect()} == set("abcd")
+
+
 def test_replays_are_dropped_in_stream(spark, tmp_path):
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
     line = json.dumps({"TransactionID": "a", "TransactionDate": "2024-02-01T09:00:00"})
