@@ -182,15 +182,21 @@ def write(docs: DataFrame, path: str, folder: str, file_ids: int = FILE_IDS) ->
     return stored(ordered.mapInArrow(run, "file string, part long, number long, documents long, ids long"), "codes")
 
 
+READ_TASKS = 4096
+
+
 def read(files: DataFrame, folder: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from the files' content.
 
-    The running total goes over parts first (one row for each write task), then within a part."""
+    The running total goes over parts first (one row for each write task), then within a part. There are
+    as many tasks as files, READ_TASKS at most: with a number of its own the deal is not folded together,
+    however small the table of file names is."""
+    tasks = min(READ_TASKS, max(1, files.count()))
     parts = files.groupBy("part").agg(F.sum("ids").alias("all"))
     before = parts.select("part", (F.sum("all").over(Window.orderBy("part")) - F.col("all")).alias("before"))
     own = Window.partitionBy("part").orderBy("number")
     placed = files.join(before, "part").select(
-        "file", (F.col("before") + F.sum("ids").over(own) - F.col("ids")).alias("base")).repartition("file")
+        "file", (F.col("before") + F.sum("ids").over(own) - F.col("ids")).alias("base")).repartition(tasks, "file")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = _place(folder)

@@ -132,6 +132,13 @@ def test_direct_codes_round_trip(spark, tok, odd, empty):
     assert direct_codes.round_trip(empty, WORDS).count() == 0
 
 
+def test_direct_codes_read_tasks_grow_with_the_files(spark, tmp_path):
+    docs = ready(spark).range(3500).selectExpr("id as doc_id", "concat('some words ', id) as text")
+    files = direct_codes.write(docs, WORDS, str(tmp_path), file_ids=1)
+    assert files.count() >= 3
+    assert direct_codes.read(files, str(tmp_path)).rdd.getNumPartitions() == files.count()
+
+
 def test_direct_codes_single_tokens():
     rng = np.random.default_rng(1)
     ids = np.concatenate([rng.integers(0, 50, 3000), rng.integers(0, 60000, 3000), [0, 2**32 - 1, 4095, 4096, 65535, 65536]]).astype(np.uint32)
