@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.build import day, days, dkey, flag, hashed, key, num, q, real, stamp, statement, whole
-from oracle.models import CTES, fact_loan, features
+from oracle.models import CTES, fact_loan, features, scored
 
 Q: dict[str, str] = {}
 
@@ -410,6 +410,43 @@ Q["anomaly_summary_fixed"] = """
     select count(*) as n_rows, count(*) filter (where decision < 0) as n_anomalies,
         round(count(*) filter (where decision < 0) / count(*), 6) as share from fixed_scores
 """
+CTES["forest_rows"] = """
+    select *, case when r > 4 then 2 when a <= 150 then 3 else 4 end as leaf_a, case when t <= 3 then 1 when a <= 400 then 3 else 4 end as leaf_b
+    from (select *, coalesce(cast(amount as double), 0) as a, coalesce(cast(combined_risk_score as double), 0) as r,
+              coalesce(cast(transactions_last_24h as double), 0) as t from featured)
+"""
+CTES["forest_labelled"] = "select a, r, t, leaf_a, leaf_b, label from forest_rows join label_rows using (transaction_id)"
+CTES["forest_scores"] = """
+    select f.*, (coalesce(x.share, 0) + coalesce(y.share, 0)) / 2.0::double as raw_score from forest_rows f
+    left join (select leaf_a, sum(label)::double / count(*) as share from forest_labelled group by 1) x using (leaf_a)
+    left join (select leaf_b, sum(label)::double / count(*) as share from forest_labelled group by 1) y using (leaf_b)
+"""
+CTES["forest_runs"] = scored("forest_scores")
+Q["score_fixed_forest"] = q(
+    "transaction_id fraud_score#d is_fraud_predicted confidence_score#d fraud_type risk_indication action_taken", "forest_runs")
+
+
+def _loss(rows: str) -> str:
+    """Weighted Gini impurity of the labelled rows under a condition."""
+    n, bad = f"count(*) filter (where {rows})", f"coalesce(sum(label) filter (where {rows}), 0)"
+    return f"coalesce(2.0::double * {bad} * ({n} - {bad}) / nullif({n}, 0), 0)"
+
+
+def _gain(rows: str, split: str) -> str:
+    return f"{_loss(rows)} - {_loss(f'{rows} and {split}')} - {_loss(f'{rows} and not {split}')}"
+
+
+Q["top_features_fixed"] = f"""
+    select feature, round(coalesce(sum(share), 0) / (select count(distinct tree) from gains where total > 0), 6) as importance
+    from (select tree, feature, case when total > 0 then gain / total end as share from gains) group by feature
+"""
+CTES["gains"] = f"""
+    select *, sum(gain) over (partition by tree) as total from (
+        select 0 as tree, 'combined_risk_score' as feature, {_gain('true', '(r <= 4)')} as gain from forest_labelled
+        union all select 0, 'amount', {_gain('r <= 4', '(a <= 150)')} from forest_labelled
+        union all select 1, 'transactions_last_24h', {_gain('true', '(t <= 3)')} from forest_labelled
+        union all select 1, 'amount', {_gain('t > 3', '(a <= 400)')} from forest_labelled)
+"""
 Q["dq_not_null"] = "select transaction_id, account_number from stg_transaction where amount is null"
 Q["dq_unique"] = "select TransactionID, count(*) as n_rows from raw_transaction where TransactionID is not null group by 1 having count(*) > 1"
 Q["dq_accepted_values"] = """

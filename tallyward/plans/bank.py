@@ -158,9 +158,14 @@ class Bank:
     def fact_transaction(self) -> DataFrame:
         return FT.fact_transaction(self.sources, self.dims, self.now)
 
+    def fact_with(self, *keys: str) -> DataFrame:
+        """The transaction fact with these dimension keys only, for readers of few dimensions."""
+        return FT.fact_transaction(self.sources, self.dims, self.now, keys=keys)
+
     @cached_property
     def fact_detection(self) -> DataFrame:
-        return FT.fact_fraud_detection(self.stg_detection, self.fact_transaction, self.model, self.now)
+        links = self.fact_with("customer_key", "account_key")
+        return FT.fact_fraud_detection(self.stg_detection, links, self.model, self.now)
 
     def fact_loan(self, as_of: str) -> DataFrame:
         return FT.fact_loan_snapshot(self.stg("loan"), self.dims["customer"], self.dims["branch"],
@@ -180,9 +185,12 @@ class Bank:
     def alerts(self) -> DataFrame:
         return FT.fact_fraud_alert(self.fact_detection, self.decisions, self.dims["employee"], self.now)
 
+    def labelled_with(self, *keys: str) -> DataFrame:
+        return FT.label_writeback(self.fact_with(*keys), self.decisions, self.as_of, "ANALYST")
+
     @cached_property
     def fact_labelled(self) -> DataFrame:
-        return FT.label_writeback(self.fact_transaction, self.decisions, self.as_of, "ANALYST")
+        return self.labelled_with(*FT.FACT_KEYS)
 
     # ---- history -----------------------------------------------------------------------
     def snapshot(self, batch: str) -> DataFrame:

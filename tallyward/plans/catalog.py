@@ -14,6 +14,7 @@ from tallyward.functions import keys as K
 from tallyward.functions import parsing as P
 from tallyward.ml import metrics as M
 from tallyward.ml import training as TR
+from tallyward.ml.forest import SHAPE_SCHEMA, TreeForest, fit_nodes
 from tallyward.ml.iforest import (
     NODE_SCHEMA, IsolationForest, grow_trees, sample_rows, score_iforest, train_iforest,
 )
@@ -100,8 +101,8 @@ def merge_upsert(b: Bank) -> DataFrame:
 
 def merge_keeps_labels(b: Bank) -> DataFrame:
     """A labelled fact table, merged with newer rows of all its transactions that bring no labels."""
-    newer = b.fact_transaction.withColumn("amount", (F.col("amount") * 2).cast("decimal(18,2)"))
-    merged = K2.merge_upsert(b.fact_labelled, newer, "transaction_id", FT.LABELS)
+    newer = b.fact_with().withColumn("amount", (F.col("amount") * 2).cast("decimal(18,2)"))
+    merged = K2.merge_upsert(b.labelled_with(), newer, "transaction_id", FT.LABELS)
     return merged.select("transaction_id", "amount", *FT.LABELS)
 
 
@@ -211,7 +212,7 @@ def point_in_time_join(b: Bank) -> DataFrame:
 
 
 def training_labelled(b: Bank) -> DataFrame:
-    return TR.labelled_matrix(FE.feature_matrix(b.featured), R.labels(b.fact_labelled))
+    return TR.labelled_matrix(FE.feature_matrix(b.featured), R.labels(b.labelled_with()))
 
 
 # ---- windows ---------------------------------------------------------------------------
@@ -458,6 +459,32 @@ def anomaly_summary_fixed(b: Bank) -> DataFrame:
     return M.anomaly_summary(_fixed_scores(b))
 
 
+# Stated splits (tree, node, feature, cut, left, right) over the same features; what the nodes hold
+# is counted on the labelled rows.
+FIXED_SPLITS = [
+    (0, 0, 1, 4.0, 1, 2), (0, 1, 0, 150.0, 3, 4), (0, 2, -1, 0.0, -1, -1), (0, 3, -1, 0.0, -1, -1), (0, 4, -1, 0.0, -1, -1),
+    (1, 0, 2, 3.0, 1, 2), (1, 1, -1, 0.0, -1, -1), (1, 2, 0, 400.0, 3, 4), (1, 3, -1, 0.0, -1, -1), (1, 4, -1, 0.0, -1, -1),
+]
+
+
+def _fixed_forest(b: Bank) -> TreeForest:
+    key = ("fixed forest", id(b.spark), b.sf_dir)
+    if key not in _TRAINED:
+        shape = pd.DataFrame(FIXED_SPLITS, columns=[c.split()[0] for c in SHAPE_SCHEMA.split(", ")])
+        _TRAINED[key] = fit_nodes(training_labelled(b), shape, FIXED_FEATURES)
+    return _TRAINED[key]
+
+
+def score_fixed_forest(b: Bank) -> DataFrame:
+    scored = TR.score(b.featured, _fixed_forest(b))
+    return scored.select("transaction_id", *_SCORES)
+
+
+def top_features_fixed(b: Bank) -> DataFrame:
+    top = TR.top_features(_fixed_forest(b).importances(b.spark))
+    return top.select("feature", F.round("importance", 6).alias("importance"))
+
+
 def _forest(b: Bank):
     key = ("forest", id(b.spark), b.sf_dir)
     if key not in _TRAINED:
@@ -512,7 +539,7 @@ def dq_report(b: Bank) -> DataFrame:
 
 # ---- facts -----------------------------------------------------------------------------
 def fact_transaction_usd(b: Bank) -> DataFrame:
-    return FT.with_usd(b.fact_transaction, A.rates(b.spark, b.sf_dir), ["amount"],
+    return FT.with_usd(b.fact_with(), A.rates(b.spark, b.sf_dir), ["amount"],
                        "transaction_timestamp").select("transaction_id", "currency", "amount", "amount_usd")
 
 
@@ -527,7 +554,7 @@ QUERIES = {
     "merge_keeps_labels": merge_keeps_labels,
     "refresh_twice": refresh_twice,
     "scd2_three_loads": scd2_three_loads,
-    "labelled_transactions": lambda b: R.labels(b.fact_labelled),
+    "labelled_transactions": lambda b: R.labels(b.labelled_with()),
     "detections_split": detections_split,
     "etl_metadata": etl_metadata,
     "merge_upsert": merge_upsert,
@@ -546,12 +573,14 @@ QUERIES = {
     "point_in_time_join": point_in_time_join,
     "training_labelled": training_labelled,
     "account_activity": lambda b: FT.account_activity(b.stg("transaction")),
-    "label_count": lambda b: M.label_count(R.labels(b.fact_labelled)),
+    "label_count": lambda b: M.label_count(R.labels(b.labelled_with())),
     "velocity_quality": velocity_quality,
-    "class_balance": lambda b: M.class_balance(R.labels(b.fact_labelled)),
+    "class_balance": lambda b: M.class_balance(R.labels(b.labelled_with())),
     "anomaly_summary": anomaly_summary,
     "score_fixed_iforest": score_fixed_iforest,
     "anomaly_summary_fixed": anomaly_summary_fixed,
+    "score_fixed_forest": score_fixed_forest,
+    "top_features_fixed": top_features_fixed,
     "classification_report": lambda b: M.classification_report(_judged(b)),
     "auc_roc": lambda b: M.auc_roc(_judged(b)),
     "dimension_health": dimension_health,
@@ -594,7 +623,7 @@ QUERIES = {
     "fact_account_balance_snapshot": lambda b: _no_audit(b.fact_balance),
     "fact_loan_snapshot": lambda b: _no_audit(b.fact_loan(A.AS_OF)),
     "fact_fraud_alert": lambda b: _no_audit(b.alerts),
-    "label_writeback": lambda b: b.fact_labelled.select(
+    "label_writeback": lambda b: b.labelled_with().select(
         "transaction_id", "is_fraud_confirmed", "fraud_label_date_key", "fraud_label_source"),
     "fact_transaction_usd": fact_transaction_usd,
     "dq_not_null": dq_not_null,
@@ -604,16 +633,17 @@ QUERIES = {
     "dq_report": dq_report,
     "model_precision_recall": lambda b: Z.model_precision_recall(b.fact_detection, b.alerts, b.model),
     "fpr_by_merchant_category": lambda b: Z.fpr_by_merchant_category(
-        b.alerts, b.fact_transaction, b.dims["merchant"]),
+        b.alerts, b.fact_with("merchant_key"), b.dims["merchant"]),
     "customer_risk_trend": lambda b: Z.customer_risk_trend(
         b.fact_detection, b.dims["customer"], b.dates, "week"),
     "alert_sla": lambda b: Z.alert_sla(b.alerts, b.dims["employee"], b.dates),
     "volume_by_channel_country": lambda b: Z.volume_by_channel_country(
-        b.fact_transaction, b.dates, b.dims["account"]),
+        b.fact_with("account_key"), b.dates, b.dims["account"]),
     "loan_portfolio_monthly": lambda b: Z.loan_portfolio_monthly(
         _loans(b), b.dims["customer"], b.dates),
     "balance_anomalies": lambda b: Z.balance_anomalies(b.daily_balance, b.dims["account"], b.dates),
-    "fraud_hotspots": lambda b: Z.fraud_hotspots(b.fact_labelled, b.dims["atm"], b.dims["merchant"]),
+    "fraud_hotspots": lambda b: Z.fraud_hotspots(
+        b.labelled_with("atm_key", "merchant_key"), b.dims["atm"], b.dims["merchant"]),
     "score_drift": lambda b: Z.score_drift(b.fact_detection, b.model, b.dates, period="week"),
     "label_rate_by_analyst": lambda b: Z.label_rate_by_analyst(
         b.alerts, b.dims["employee"], b.dates),

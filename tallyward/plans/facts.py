@@ -42,25 +42,31 @@ def union_sources(realtime: DataFrame, batch: DataFrame) -> DataFrame:
     return realtime.unionByName(batch)
 
 
-def star_join(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Resolve the six dimension keys (and the account's branch); a miss is the unknown member.
+# Each dimension a transaction refers to: its join column, the keys it gives, whether it has versions.
+LINKS = (
+    ("customer", "customer_id", ("customer_key",), True),
+    ("account", "account_number", ("account_key", "branch_key"), True),
+    ("transaction_type", "transaction_type_id", ("transaction_type_key",), False),
+    ("merchant", "merchant_id", ("merchant_key",), False),
+    ("atm", "atm_id", ("atm_key",), False),
+    ("card", "card_number_hashed", ("card_key",), False),
+)
+FACT_KEYS = tuple(k for _, _, keys, _ in LINKS for k in keys)
+
+
+def star_join(df: DataFrame, dims: dict[str, DataFrame], keys: tuple[str, ...] = FACT_KEYS) -> DataFrame:
+    """Resolve ``keys``, by default all of the six dimensions and the account's branch; a miss is the
+    unknown member. Dimensions none of whose keys are asked for are not joined: Spark can't know that
+    their keys are unique, so it would keep a left join that nobody reads.
 
     Dimension sides carry only the join column and the key. None is forced to broadcast;
     hot and NULL keys of shuffled joins are split by AQE.
     """
-    links = [
-        ("customer", "customer_id", ["customer_key"], True),
-        ("account", "account_number", ["account_key", "branch_key"], True),
-        ("transaction_type", "transaction_type_id", ["transaction_type_key"], False),
-        ("merchant", "merchant_id", ["merchant_key"], False),
-        ("atm", "atm_id", ["atm_key"], False),
-        ("card", "card_number_hashed", ["card_key"], False),
-    ]
-    keys = []
-    for name, on, wanted, versioned in links:
-        dim = current(dims[name]) if versioned else dims[name]
-        df = df.join(dim.select(on, *wanted), on, "left")
-        keys += wanted
+    for name, on, given, versioned in LINKS:
+        wanted = [k for k in given if k in keys]
+        if wanted:
+            dim = current(dims[name]) if versioned else dims[name]
+            df = df.join(dim.select(on, *wanted), on, "left")
     return df.withColumns({k: or_unknown(k) for k in keys})
 
 
@@ -68,15 +74,17 @@ def star_join(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 VERSION = (("source_priority", "asc"), ("source_load_ts", "desc"))
 
 
-def fact_transaction(sources: DataFrame, dims: dict[str, DataFrame], now: str, versioned: bool = False) -> DataFrame:
+def fact_transaction(sources: DataFrame, dims: dict[str, DataFrame], now: str, versioned: bool = False,
+                     keys: tuple[str, ...] = FACT_KEYS) -> DataFrame:
     """One row per transaction; real-time rows win over batch rows. ``versioned`` adds the columns
-    that tell a merge how new a row is."""
+    that tell a merge how new a row is. A reader of a few dimensions names their ``keys``; the other
+    key columns are then left out."""
+    order = ("customer_key", "account_key", "card_key", "merchant_key", "atm_key", "branch_key", "transaction_type_key")
     version = ["source_priority", F.col("load_ts").alias("source_load_ts")] if versioned else []
-    rows = star_join(by_priority(sources, "transaction_id", "source_priority", "load_ts"), dims)
+    rows = star_join(by_priority(sources, "transaction_id", "source_priority", "load_ts"), dims, keys)
     return with_audit(rows.select(
         surrogate_key("transaction_id").alias("transaction_fact_key"), "transaction_id",
-        date_key("transaction_date").alias("date_key"), "customer_key", "account_key",
-        "card_key", "merchant_key", "atm_key", "branch_key", "transaction_type_key", "amount",
+        date_key("transaction_date").alias("date_key"), *[k for k in order if k in keys], "amount",
         "currency", "transaction_method", "channel", "city", "state", "country", "latitude",
         "longitude", F.col("transaction_hour").alias("hour_of_day"), "is_night_transaction",
         F.col("is_international").alias("is_cross_border"),
