@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.ml.iforest import train_iforest
+from tallyward.ml.forest import TreeForest, compile_forest
+from tallyward.ml.iforest import IsolationForest, train_iforest
 from tallyward.ml.metrics import auc_roc, classification_report, label_count
 from tallyward.ml.training import (
     MIN_LABELS, choose_mode, labelled_matrix, registry_row, split_stratified, train_forest,
@@ -77,9 +79,11 @@ class Warehouse:
         publish(df, self.base(name))
         return self.read(name)
 
+    def raw_path(self, table: str) -> str:
+        return f"{self.root}/batch/raw/{table}/batch_{self.batch_id}"
+
     def raw(self, table: str) -> DataFrame:
-        return load_raw(self.spark, f"{self.root}/batch/raw/{table}/batch_{self.batch_id}",
-                        RAW_SCHEMAS[table])
+        return load_raw(self.spark, self.raw_path(table), RAW_SCHEMAS[table])
 
 
 def _stage_all(w: Warehouse) -> dict[str, DataFrame]:
@@ -272,6 +276,9 @@ def retrain(w: Warehouse, mode: str = "auto", min_labels: int = MIN_LABELS, tree
             metrics |= {f"{m}_score": fraud[m if m != "f1" else "f1_score"]
                         for m in ("precision", "recall", "f1")}
         model.write().overwrite().save(target)
+        compiled = compile_forest(model, f"{target}/forest")
+        if compiled:
+            compiled.save(spark, f"{target}/compiled")
         algorithm, n = "RandomForestClassifier", train.count()
     else:
         model = train_iforest(matrix, ML_FEATURES, trees=trees or 200, seed=seed)
@@ -285,3 +292,32 @@ def retrain(w: Warehouse, mode: str = "auto", min_labels: int = MIN_LABELS, tree
     else:
         w.publish("model_registry", row)
     return mode, model, metrics
+
+
+def saved_model(w: Warehouse):
+    """The model of ``w.model_id`` as ``retrain()`` saved it, for ``score()`` and the stream; None where
+    there is none. A supervised forest comes as its node table, if it is small enough to be one."""
+    if not w.has("model_registry"):
+        return None
+    own = (F.col("model_name") == w.model_id.name) & (F.col("model_version") == w.model_id.version)
+    entry = w.read("model_registry").filter(own).select("algorithm").first()
+    if entry is None:
+        return None
+    target = f"{w.root}/models/{w.model_id.name}/{w.model_id.version}"
+    if entry["algorithm"] == "IsolationForest":
+        return IsolationForest.load(w.spark, target)
+    if _exists(w.spark, f"{target}/compiled/features/_SUCCESS"):
+        return TreeForest.load(w.spark, f"{target}/compiled")
+    return PipelineModel.load(target)
+
+
+def staging_views(w: Warehouse, prefix: str = "stg_") -> list[str]:
+    """Temporary views of all staged batch tables that are there, so that SQL can be run over them.
+    Views are plans: nothing is read before a query asks. Returns their names."""
+    names = []
+    for name in BATCH_COLUMNS:
+        if _exists(w.spark, w.raw_path(name)):
+            staged = ST.stage_batch(name, w.raw(name), w.batch_id, w.as_of)
+            staged.createOrReplaceTempView(f"{prefix}{name}")
+            names.append(f"{prefix}{name}")
+    return names

@@ -39,6 +39,7 @@ from tallyward.streaming.keyed import keyed_figures, with_state_store
 LATE_AFTER = timedelta(minutes=10)
 CLOCK_SKEW = timedelta(days=2)
 MEASURED = (*FIGURES, "is_late")  # what keyed state adds to a message
+CONSOLE = ("TransactionID", "fraud_score", "risk_indication", "action_taken", "fraud_type")  # printed columns
 Loader = Callable[[], DataFrame]
 
 
@@ -57,6 +58,7 @@ class StreamConfig:
     hot_rows: int = HOT_ROWS
     ring: dict = field(default_factory=dict)  # limits of the keyed state other than its own
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)
+    console: int = 0  # detections of a micro-batch that are also printed
     run: str = "0"  # one name for each checkpoint: micro-batches are numbered within it
 
     @property
@@ -168,7 +170,8 @@ def _measured_here(good: DataFrame, batch_id: int, config: StreamConfig, stamp:
 
 
 def process_batch(batch: DataFrame, batch_id: int, config: StreamConfig) -> None:
-    """One micro-batch: both outputs go to folders named after it, so a replay overwrites."""
+    """One micro-batch: both outputs go to folders named after it, so a replay overwrites. With
+    ``config.console`` some detections are printed besides."""
     started = monotonic()
     measured = set(MEASURED) <= set(batch.columns)
     batch = batch.persist()
@@ -190,6 +193,9 @@ def process_batch(batch: DataFrame, batch_id: int, config: StreamConfig) -> None
         transactions, detections = split_streams(scored_ms, config.model_id)
         write_lake(stringify(transactions), config.transactions, stamp, batch_id, config.run)
         write_lake(stringify(detections), config.detections, stamp, batch_id, config.run)
+        if config.console:
+            print(f"micro-batch {batch_id} of run {config.run}: {n} rows")
+            detections.select(*CONSOLE).show(config.console, truncate=False)
         scored.unpersist()
     finally:
         batch.unpersist()

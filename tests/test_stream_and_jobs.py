@@ -6,7 +6,9 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from tallyward.ml.forest import with_forest
 from tallyward.ml.iforest import IsolationForest, score_iforest, train_iforest
+from tallyward.ml.training import with_probability
 from tallyward.operators.features import ML_FEATURES, feature_matrix
 from tallyward.operators.scoring import ModelId
 from tallyward.operators.velocity import FIGURES
@@ -85,6 +87,15 @@ def test_replayed_batch_changes_nothing(spark, streamed):
     assert sorted(map(tuple, after.collect())) == before
 
 
+def test_detections_on_the_console(spark, bank, tmp_path, capsys):
+    cfg = config(spark, bank, str(tmp_path / "lake"), console=2)
+    events = [_event(f"t{i}", "2024-02-01T09:00:00") for i in range(5)]
+    ST.process_batch(spark.createDataFrame(events, "value string"), 0, cfg)
+    out = capsys.readouterr().out
+    assert "micro-batch 0 of run 0: 5 rows" in out and "only showing top 2 rows" in out and "TransactionID" in out
+    assert spark.read.parquet(cfg.detections).count() == 5
+
+
 def test_late_rows_are_flagged(spark, bank, tmp_path):
     def event(i, t):
         return (json.dumps({"TransactionID": i, "AccountNumber": "A1", "TransactionDate": t, "Amount": "5"}),)
@@ -237,6 +248,13 @@ def test_jobs_end_to_end(spark, bank, streamed, tmp_path_factory):
     assert mode == "supervised" and 0 < metrics["auc_roc"] < 1
     assert registry["v2"]["is_active"] and not registry["v1"]["is_active"]
     assert registry["v2"]["algorithm"] == "RandomForestClassifier"
+    compiled = J.saved_model(w)
+    rows = w.read("training_labelled").limit(200)
+    got = {r[0]: r[1] for r in with_forest(rows, compiled).select("transaction_id", "raw_score").collect()}
+    want = {r[0]: r[1] for r in with_probability(rows, model).select("transaction_id", "raw_score").collect()}
+    assert got == pytest.approx(want)
+    assert sorted(J.staging_views(w))[0] == "stg_account"
+    assert spark.sql("select count(distinct account_number) = count(*) from stg_account").first()[0]
 
 
 def test_refresh_merges_what_the_stream_wrote_meanwhile(spark, bank, tmp_path, monkeypatch):
