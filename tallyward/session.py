@@ -16,6 +16,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Wide rows take some twenty times their compressed size in a sort, so tasks are cut at 16 MB and
+    # hot keys of joins at 32 MB.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     # Wide projections make methods the JVM refuses to compile; above this size Spark splits them.

@@ -110,3 +110,17 @@ def test_untimed_rows_do_not_widen_slices(spark):
     with_ = hot_accounts(timed.unionByName(untimed), hot_rows=50).first()
     without = hot_accounts(timed, hot_rows=50).first()
     assert with_["_first"] == without["_first"] and with_["_width"] <= without["_width"]
+
+
+def test_slices_of_a_day_need_one_pass(spark):
+    """Rows that reach over a slice's end count in the next one, and the rows are read once."""
+    from tallyward.operators.velocity import hot_accounts
+
+    at = [0, 86399, 86400, 86401, 90000, 2 * 86400, 2 * 86400 + 2, 9 * 86400, 10 * 86400, 10 * 86400 + 1]
+    rows = [(f"X{i}", "HOT", T0 + timedelta(seconds=s), Decimal(2 ** i)) for i, s in enumerate(at)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    hot = hot_accounts(df, hot_rows=4)
+    assert hot.count() == 1 and not hot.first()["_dense"]
+    out = velocity(df, hot=hot)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD [transaction_id") == 1
+    assert figures(out) == brute(rows)
