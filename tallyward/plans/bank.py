@@ -82,10 +82,13 @@ class Bank:
     def featured(self) -> DataFrame:
         return features(self.enriched, self.as_of)
 
+    def _timed(self, featured: DataFrame) -> DataFrame:
+        at = F.coalesce("transaction_date", F.lit(self.as_of).cast("timestamp"))
+        return featured.withColumn("processing_timestamp", at + F.expr("INTERVAL 5 SECONDS"))
+
     @cached_property
     def timed(self) -> DataFrame:
-        at = F.coalesce("transaction_date", F.lit(self.as_of).cast("timestamp"))
-        return self.featured.withColumn("processing_timestamp", at + F.expr("INTERVAL 5 SECONDS"))
+        return self._timed(self.featured)
 
     @cached_property
     def scored_runs(self) -> DataFrame:
@@ -107,10 +110,12 @@ class Bank:
     def _stored(self, df: DataFrame) -> DataFrame:
         return stringify(df).withColumns({"_LOAD_TS": F.lit(self.now), "_SOURCE_FILE": F.lit("stream")})
 
+    def _raw_realtime(self, timed: DataFrame) -> DataFrame:
+        return self._stored(split_streams(label_scores(rule_score(timed)), ModelId())[0])
+
     @cached_property
     def raw_realtime(self) -> DataFrame:
-        full = label_scores(rule_score(self.timed))
-        return self._stored(split_streams(full, ModelId())[0])
+        return self._raw_realtime(self.timed)
 
     @cached_property
     def raw_detection(self) -> DataFrame:
@@ -144,7 +149,9 @@ class Bank:
 
     @cached_property
     def realtime_source(self) -> DataFrame:
-        return FT.realtime_source(self.stg_realtime)
+        """The stream's rows for facts, which have none of the sliding figures."""
+        timed = self._timed(features(self.still, self.as_of))
+        return FT.realtime_source(ST.stage_realtime_transaction(self._raw_realtime(timed)))
 
     @cached_property
     def batch_source(self) -> DataFrame:

@@ -217,3 +217,12 @@ def test_unreadable_files_fail_or_are_named(spark, tmp_path):
         load_raw(spark, str(tmp_path / "raw"), schema).collect()
     assert load_raw(spark, str(tmp_path / "raw"), schema, "continue").count() == 1
     assert [r["file"].rsplit("/", 1)[1] for r in skipped_files(spark, str(tmp_path / "raw"), schema).collect()] == ["broken.parquet"]
+
+
+def test_stream_rows_for_facts_need_no_sliding_figures(bank):
+    from tallyward.plans import facts as FT
+
+    lean, staged = bank.realtime_source, FT.realtime_source(bank.stg_realtime)
+    assert "is_row" not in lean._jdf.queryExecution().optimizedPlan().toString()
+    assert "is_row" in staged._jdf.queryExecution().optimizedPlan().toString()
+    assert lean.exceptAll(staged).count() == 0 and staged.exceptAll(lean).count() == 0
