@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.ml.forest import TreeForest, compile_forest
+from tallyward.ml.forest import load_forest
 from tallyward.ml.iforest import IsolationForest, train_iforest
 from tallyward.ml.metrics import auc_roc, classification_report, label_count
 from tallyward.ml.training import (
@@ -275,10 +275,7 @@ def retrain(w: Warehouse, mode: str = "auto", min_labels: int = MIN_LABELS, tree
         if fraud:
             metrics |= {f"{m}_score": fraud[m if m != "f1" else "f1_score"]
                         for m in ("precision", "recall", "f1")}
-        model.write().overwrite().save(target)
-        compiled = compile_forest(model, f"{target}/forest")
-        if compiled:
-            compiled.save(spark, f"{target}/compiled")
+        model.save(spark, f"{target}/compiled")
         algorithm, n = "RandomForestClassifier", train.count()
     else:
         model = train_iforest(matrix, ML_FEATURES, trees=trees or 200, seed=seed)
@@ -296,7 +293,8 @@ def retrain(w: Warehouse, mode: str = "auto", min_labels: int = MIN_LABELS, tree
 
 def saved_model(w: Warehouse):
     """The model of ``w.model_id`` as ``retrain()`` saved it, for ``score()`` and the stream; None where
-    there is none. A supervised forest comes as its node table, if it is small enough to be one."""
+    there is none. A supervised forest comes as its node table; one that an older version saved as a pipeline
+    alone comes as that."""
     if not w.has("model_registry"):
         return None
     own = (F.col("model_name") == w.model_id.name) & (F.col("model_version") == w.model_id.version)
@@ -307,7 +305,7 @@ def saved_model(w: Warehouse):
     if entry["algorithm"] == "IsolationForest":
         return IsolationForest.load(w.spark, target)
     if _exists(w.spark, f"{target}/compiled/features/_SUCCESS"):
-        return TreeForest.load(w.spark, f"{target}/compiled")
+        return load_forest(w.spark, f"{target}/compiled")
     return PipelineModel.load(target)
 
 
