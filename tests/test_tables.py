@@ -16,6 +16,7 @@ from tallyward.session import cut_lineage
 from tallyward.schemas import BATCH_COLUMNS, NEVER_EXTRACTED, RAW_LOCATIONS, RAW_SCHEMAS
 from tallyward.sources import raw as R
 from tallyward.sources import sinks as K
+from tallyward.sources.adapter import cdc_events
 
 
 def rows(df):
@@ -226,3 +227,20 @@ def test_stream_rows_for_facts_need_no_sliding_figures(bank):
     assert "is_row" not in lean._jdf.queryExecution().optimizedPlan().toString()
     assert "is_row" in staged._jdf.queryExecution().optimizedPlan().toString()
     assert lean.exceptAll(staged).count() == 0 and staged.exceptAll(lean).count() == 0
+
+
+def test_events_of_one_row_group_are_dealt_to_several_tasks(spark, tmp_path):
+    spark.range(20000).selectExpr(
+        "id as event_id", "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as ts", "id % 40 as user_id",
+        "'view' as event_type", "cast(id % 900 as double) / 4 as value", "'{}' as props",
+    ).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(40).selectExpr("id as c_custkey", "id % 25 as c_nationkey").write.parquet(str(tmp_path / "customer.parquet"))
+    small = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(small, "4k")
+    try:
+        sizes = [r["count"] for r in cdc_events(spark, str(tmp_path)).select(
+            F.spark_partition_id().alias("p"), "value").groupBy("p").agg(
+                F.count("*").alias("count"), F.max(F.length("value"))).collect()]
+    finally:
+        spark.conf.unset(small)
+    assert sum(sizes) == 20000 and len(sizes) > 1 and max(sizes) < 15000
