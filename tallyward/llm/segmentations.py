@@ -75,29 +75,52 @@ class Vocabulary:
             piece_at[node] = i
         self.weight = weight
         keys = np.array([n << 21 | c for n, c in children], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.nodes = keys[order], np.array(list(children.values()), np.int64)[order]
+        nodes = np.array(list(children.values()), np.int64)
         self.piece_at = np.array(piece_at, np.int64)
         self.roots = np.full(0x110000, -1, np.int32)  # the first step of the walk, for all characters
-        of_root = self.keys < 1 << 21
-        self.roots[self.keys[of_root]] = self.nodes[of_root]
+        of_root = keys < 1 << 21
+        self.roots[keys[of_root]] = nodes[of_root]
+        # All other steps: a table by hash, -1 where free; what finds its slot taken goes to the next one.
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.nodes = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+        todo, slot = np.arange(len(keys)), self.slot(keys)
+        while len(todo):
+            _, first = np.unique(slot, return_index=True)
+            first = first[self.keys[slot[first]] < 0]
+            self.keys[slot[first]], self.nodes[slot[first]] = keys[todo[first]], nodes[todo[first]]
+            rest = np.delete(np.arange(len(todo)), first)
+            todo, slot = todo[rest], (slot[rest] + 1) & self.mask
         self.longest = max(len(sp.id_to_piece(i)) for i in range(size) if not sp.is_byte(i))
         self.flat = np.frombuffer(b"".join(written), np.uint8)
         self.sizes = np.array([len(w) for w in written], np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
 
+    def slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(BASE)) >> self.shift).view(np.int64)
+
     def child(self, node: np.ndarray, point: np.ndarray) -> np.ndarray:
         """-1 where there is none."""
         key = node << 21 | point
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.nodes[at], -1)
+        slot = self.slot(key)
+        held, found = self.keys.take(slot), self.nodes.take(slot)
+        far = np.flatnonzero((held != key) & (held >= 0))
+        found[far] = -1
+        while len(far):
+            slot[far] = own = (slot[far] + 1) & self.mask
+            held = self.keys[own]
+            hit = held == key[far]
+            found[far[hit]] = self.nodes[own[hit]]
+            far = far[~hit & (held >= 0)]
+        return found
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The texts' bytes, with the blank that stands before every text, and the bytes of each."""
-        size = self.sizes[ids]
-        step = np.arange(size.sum()) + np.repeat(self.begins[ids] - (np.cumsum(size) - size), size)
-        upto = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
-        return self.flat[step].tobytes(), np.diff(upto)
+        size = self.sizes.take(ids)
+        upto = np.concatenate([[0], np.cumsum(size)])
+        step = np.repeat(self.begins.take(ids) - upto[:-1], size)
+        step += np.arange(len(step))
+        return self.flat.take(step).tobytes(), np.diff(upto[np.concatenate([[0], np.cumsum(counts)])])
 
 
 class Lattice:
@@ -111,15 +134,19 @@ class Lattice:
         place, node = np.arange(n), np.zeros(n, np.int64)
         starts, pieces, lengths = [], [], []
         for length in range(1, vocabulary.longest + 1):
-            live = place + length <= stop[place]
-            place, node = place[live], node[live]
-            node = vocabulary.child(node, points[place + length - 1]) if length > 1 else vocabulary.roots[points[place]].astype(np.int64)
-            place, node = place[node >= 0], node[node >= 0]
+            live = place + length <= stop.take(place)
+            if not live.all():
+                place, node = place[live], node[live]
+            point = points.take(place + (length - 1))
+            node = vocabulary.child(node, point) if length > 1 else vocabulary.roots.take(point).astype(np.int64)
+            known = np.flatnonzero(node >= 0)
+            place, node = place.take(known), node.take(known)
             if not len(place):
                 break
-            found = vocabulary.piece_at[node]
-            starts.append(place[found >= 0])
-            pieces.append(found[found >= 0])
+            found = vocabulary.piece_at.take(node)
+            real = np.flatnonzero(found >= 0)
+            starts.append(place.take(real))
+            pieces.append(found.take(real))
             lengths.append(length)
         single = np.zeros(n, bool)
         single[starts[0] if starts else []] = True
@@ -135,51 +162,66 @@ class Lattice:
         self.degree = np.zeros(n, np.int64)
         for group in starts:
             self.degree[group] += 1
+        degree = self.degree.take(places)
+        first = np.cumsum(degree) - degree
         self.first = np.empty(n, np.int64)
-        self.first[places] = np.cumsum(self.degree[places]) - self.degree[places]
-        free, size = self.first.copy(), int(self.degree.sum())
-        start, piece, length = (np.empty(size, np.int64) for _ in range(3))
+        self.first[places] = first
+        free, size = self.first.copy(), int(degree.sum())
+        piece, length = np.empty(size, np.int64), np.empty(size, np.int64)
         for group, own, long in zip(starts, pieces, lengths):
-            at = free[group]
-            start[at], piece[at], length[at] = group, own, long
+            at = free.take(group)
+            piece[at], length[at] = own, long
             free[group] = at + 1
-        self.start = start
-        self.end = start + length
-        wide = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+        self.start = np.repeat(places, degree)
+        self.end = self.start + length
         self.piece = piece
-        weight = np.where(piece >= 0, vocabulary.weight[piece], wide[start] * vocabulary.weight[vocabulary.byte_id[0]])
-        first, degree = self.first[places], self.degree[places]
+        distance = left.take(places)
+        # What follows an edge: the place it ends at, or n, which adds nothing, at the word's end.
+        follows = np.where(np.repeat(distance, degree) == length, n, self.end)
+        weight = vocabulary.weight.take(piece)
+        bare = np.flatnonzero(piece < 0)
+        point = points[self.start[bare]]
+        wide = 1 + (point >= 0x80).astype(np.int64) + (point >= 0x800) + (point >= 0x10000)
+        weight[bare] = wide * vocabulary.weight[vocabulary.byte_id[0]]
         sums = np.zeros(n + 1)
-        distance = left[places]
         bounds = np.searchsorted(distance, np.arange(1, (distance[-1] if n else 0) + 2))
-        ending = np.zeros(n + 1, bool)
-        ending[ends] = True
-        self.log = np.empty(len(start))
+        self.log = np.empty(size)
         for a, b in zip(bounds, bounds[1:]):
             if a == b:
                 continue
-            e = slice(first[a], first[b] if b < len(first) else len(start))
-            value = weight[e] + np.where(ending[self.end[e]], 0, sums[self.end[e]])
+            e = slice(first[a], first[b] if b < len(first) else size)
+            value = weight[e] + sums.take(follows[e])
             at, many = first[a:b] - first[a], degree[a:b]
             top = np.maximum.reduceat(value, at)
             total = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, many)), at))
             sums[places[a:b]] = total
-            self.log[e] = value - np.repeat(total, many)
-        share = np.cumsum(np.exp(self.log))
-        before = share[first] - np.exp(self.log[first])
-        self.share = share - np.repeat(before, degree)
-        self.share[first + degree - 1] = 2.0  # the last edge takes what rounding leaves
+            np.subtract(value, np.repeat(total, many), out=self.log[e])
+        step = np.exp(self.log)
+        share = np.cumsum(step)
+        before = share.take(first) - step.take(first)
+        share -= np.repeat(before, degree)
+        share[first + degree - 1] = 2.0  # the last edge takes what rounding leaves
+        self.share = share
 
 
-def uniform(*parts) -> np.ndarray:
-    """Numbers in (0, 1) of 32 bits from a hash of the parts."""
-    x = np.uint64(0)
+def blend(x: np.ndarray, *parts) -> np.ndarray:
+    """Goes on with a hash, part by part."""
     with np.errstate(over="ignore"):
         for part in parts:
             x = mix((x ^ np.asarray(part).astype(np.uint64)) * np.uint64(BASE) + np.uint64(1))
+    return x
+
+
+def fraction(x: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) of the upper 32 bits of a hash."""
     return ((x >> np.uint64(32)).astype(np.float64) + 0.5) / 2.0 ** 32
 
 
+def uniform(*parts) -> np.ndarray:
+    """Numbers in (0, 1) of 32 bits from a hash of the parts."""
+    return fraction(blend(np.uint64(0), *parts))
+
+
 class Batch:
     """Texts as words, each an occurrence of a distinct word with a lattice."""
 
@@ -196,7 +238,12 @@ class Batch:
         self.text_of = np.searchsorted(np.cumsum(self.sizes), begin, "right")
         self.place = begin - (np.cumsum(self.sizes) - self.sizes)[self.text_of]
         key = stretches(points.astype(np.uint32).view(np.uint8), 4 * begin, 4 * size)
-        _, at, self.word = np.unique(key, return_index=True, return_inverse=True)
+        self.order = np.argsort(key, kind="stable")  # occurrences, those of a word together
+        key = key.take(self.order)
+        new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+        at = self.order[new]
+        self.word = np.empty(len(key), np.int64)
+        self.word[self.order] = np.cumsum(new) - 1
         own = size[at]
         self.base = np.cumsum(own) - own  # first place of each distinct word in the lattice
         self.own = own
@@ -204,31 +251,42 @@ class Batch:
         self.points = points[step]
         self.lattice = Lattice(vocabulary, self.points, own)
 
-    def paths(self, text: np.ndarray, word: np.ndarray, inside: np.ndarray, salt: np.ndarray):
+    def paths(self, text: np.ndarray, word: np.ndarray, inside: np.ndarray, sample: int):
         """One path through each word occurrence ``word`` from place ``inside`` of it on: word
-        index, step and edge of every step, in order. ``salt`` is the sample's number."""
-        lattice, base = self.lattice, self.base[self.word[word]]
-        lane = np.arange(len(word))
-        at, stop = base + inside, base + self.own[self.word[word]]
-        seed, lanes, edges = self.keys[text], [], []
-        live = at < stop
-        while live.any():
-            lane, at = lane[live], at[live]
-            u = uniform(seed[lane], salt[lane], self.place[word[lane]] + at - base[lane], 7)
-            edge = lattice.first[at].copy()
-            late = np.flatnonzero(u > lattice.share[edge])
+        index and edge of every step, in order."""
+        lattice = self.lattice
+        # Lanes of the same word go together, so that neighbours read the same part of the lattice.
+        lane = np.full(len(self.word), -1)
+        lane[word] = np.arange(len(word))
+        lane = lane.take(self.order)
+        lane = lane[lane >= 0]
+        own = word.take(lane)
+        kind = self.word.take(own)
+        base = self.base.take(kind)
+        at, stop = base + inside.take(lane), base + self.own.take(kind)
+        # What the lanes still under way need: hash of key and sample, end of the word, place less ``at``.
+        ahead = self.place.take(own) - base
+        seed = blend(np.uint64(0), self.keys, sample).take(text.take(lane))
+        lanes, edges, steps = [], [], np.zeros(len(word), np.int64)
+        while len(lane):
+            u = fraction(blend(seed, ahead + at, 7))
+            edge = lattice.first.take(at)
+            late = np.flatnonzero(u > lattice.share.take(edge))
             while len(late):
-                edge[late] += 1
-                late = late[u[late] > lattice.share[edge[late]]]
+                next_ = edge.take(late) + 1
+                edge[late] = next_
+                late = late[u.take(late) > lattice.share.take(next_)]
             lanes.append(lane)
             edges.append(edge)
-            at = lattice.end[edge]
-            live = at < stop[lane]
-        if not lanes:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        lanes, edges = np.concatenate(lanes), np.concatenate(edges)
-        order = np.argsort(lanes, kind="stable")
-        return lanes[order], edges[order]
+            steps[lane] = len(lanes)
+            at = lattice.end.take(edge)
+            live = np.flatnonzero(at < stop)
+            lane, at, stop, ahead, seed = (x.take(live) for x in (lane, at, stop, ahead, seed))
+        first = np.cumsum(steps) - steps
+        out = np.empty(int(steps.sum()), np.int64)
+        for i, (lane, edge) in enumerate(zip(lanes, edges)):
+            out[first.take(lane) + i] = edge
+        return np.repeat(np.arange(len(word)), steps), out
 
     def sample(self, k: int) -> list[dict]:
         """Rounds of samples: arrays text, sample, ids, counts, log, value; then thresholds."""
@@ -252,14 +310,14 @@ class Batch:
             inside = np.zeros(len(word), np.int64)
             head = (np.cumsum(many) - many)[many > 0]
             inside[head] = np.array([nodes[t][3] for t in text], np.int64)[many > 0]
-            lane, edge = self.paths(text[owner], word, inside, np.full(len(word), sample))
-            whose = owner[lane]
+            lane, edge = self.paths(text.take(owner), word, inside, sample)
+            whose = owner.take(lane)
             steps = np.bincount(whose, minlength=len(text))
             first = np.cumsum(steps) - steps
-            gain = lattice.log[edge]
+            gain = lattice.log.take(edge)
             total = np.cumsum(gain)
             start = np.concatenate([[0.0], total])[first]
-            before = total - gain - start[whose] + prefix[whose]
+            before = total - gain - start.take(whose) + prefix.take(whose)
             reached = prefix + np.bincount(whose, gain, len(text))
             ahead = [nodes[t][4] for t in text]
             self._siblings(queue, k - sample, sample, text, value, whose, before, first, steps,
@@ -285,18 +343,23 @@ class Batch:
         while len(todo):
             chosen = np.zeros(len(text), bool)
             chosen[todo] = True
-            at = np.flatnonzero(chosen[whose] & (before >= floor[whose]))
-            start = self._place_of(edge[at])
-            degree = lattice.degree[start]
-            step = np.repeat(at, degree)
-            other = np.arange(degree.sum()) + np.repeat(lattice.first[start] - (np.cumsum(degree) - degree), degree)
-            step, other = step[other != edge[step]], other[other != edge[step]]
-            log = before[step] + lattice.log[other]
-            mine = whose[step]
-            place = self.place[word[lane[step]]] + self._place_of(other) - self.base[self.word[word[lane[step]]]]
-            noise = -np.log(uniform(self.keys[text[mine]], sample, place, 11, lattice.end[other] - self._place_of(other), lattice.piece[other] + 1))
+            at = np.flatnonzero(before >= np.where(chosen, floor, np.inf).take(whose))
+            taken = edge.take(at)
+            start, own = self._place_of(taken), word.take(lane.take(at))
+            degree = lattice.degree.take(start)
+            place = self.place.take(own) + start - self.base.take(self.word.take(own))
+            seed = blend(blend(np.uint64(0), self.keys[text], sample).take(whose.take(at)), place, 11)
+            of = np.repeat(np.arange(len(at)), degree)
+            other = np.arange(len(of)) + np.repeat(lattice.first.take(start) - (np.cumsum(degree) - degree), degree)
+            else_ = np.flatnonzero(other != taken.take(of))
+            of, other = of.take(else_), other.take(else_)
+            step = at.take(of)
+            log = before.take(step) + lattice.log.take(other)
+            mine = whose.take(step)
+            noise = -np.log(fraction(blend(seed.take(of), lattice.end.take(other) - start.take(of), lattice.piece.take(other) + 1)))
             cut = log - np.log(np.exp(np.minimum(log - value[mine], 700)) + noise)
-            order = np.lexsort((-cut, mine))
+            order = _best(cut, mine, len(text), wanted)
+            order = order[np.lexsort((-cut[order], mine[order]))]
             bound = np.searchsorted(mine[order], np.arange(len(text) + 1))
             order = order[np.arange(len(order)) - bound[mine[order]] < wanted]
             bound = np.searchsorted(mine[order], np.arange(len(text) + 1)).tolist()
@@ -327,11 +390,11 @@ class Batch:
         return value, log, own, inside, edges
 
     def _place_of(self, edge: np.ndarray) -> np.ndarray:
-        return self.lattice.start[edge]
+        return self.lattice.start.take(edge)
 
     def ids(self, edges: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids; a character without a piece becomes its bytes."""
-        found = self.lattice.piece[edges]
+        found = self.lattice.piece.take(edges)
         if not len(found) or found.min() >= 0:
             return found, counts
         missing = np.flatnonzero(found < 0)
@@ -350,6 +413,22 @@ class Batch:
         return out, np.diff(upto)
 
 
+def _best(value: np.ndarray, group: np.ndarray, groups: int, wanted: int) -> np.ndarray:
+    """Indices among which the ``wanted`` largest values of each group are; ``group`` ascends. Of as many
+    parts of a group, each has a value that is not less than the least of the parts' largest."""
+    upto = np.searchsorted(group, np.arange(groups + 1))
+    many = np.diff(upto)
+    large = np.flatnonzero(many >= wanted)
+    if not len(large):
+        return np.arange(len(value))
+    part = upto[large, None] + many[large, None] * np.arange(wanted) // wanted
+    ends = np.column_stack([part, upto[large + 1]]).ravel()
+    tops = np.maximum.reduceat(np.append(value, -np.inf), ends).reshape(-1, wanted + 1)[:, :wanted]
+    least = np.full(groups, -np.inf)
+    least[large] = tops.min(1)
+    return np.flatnonzero(value >= least.take(group))
+
+
 def set_of(found: dict) -> set:
     if "set" not in found:
         found["set"] = set(found["text"].tolist())

@@ -342,3 +342,51 @@ def test_language_fills_null_and_clashing_columns(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string")
     kept = {r["doc_id"]: r for r in language.known_documents(docs).collect()}
     assert kept[200]["lang"] == "de" and kept[200]["lang_pred"] == "z" and 201 not in kept and len(kept) == 61
+
+
+def test_segmentation_paths_step_by_step():
+    """Paths of many words at once are those of one word after the other, each edge drawn by its own hash."""
+    own = segmentations.vocabulary(PIECES)
+    texts, keys = ["the cat the hat", "", "naïve the 猫 caterpillar the the", "x"], np.array([3, 5, -7, 0])
+    batch = segmentations.Batch(own, texts, keys)
+    word = np.flatnonzero(np.arange(len(batch.word)) != 1)
+    inside = np.where(word == 2, 1, 0)
+    lane, edge = batch.paths(batch.text_of[word], word, inside, 2)
+    want, lattice = [], batch.lattice
+    for i, (w, within) in enumerate(zip(word.tolist(), inside.tolist())):
+        base = batch.base[batch.word[w]]
+        at = base + within
+        while at < base + batch.own[batch.word[w]]:
+            u = segmentations.uniform(keys[batch.text_of[w]], 2, batch.place[w] + at - base, 7)
+            e = lattice.first[at]
+            while u > lattice.share[e]:
+                e += 1
+            want.append((i, e))
+            at = lattice.end[e]
+    assert list(zip(lane.tolist(), edge.tolist())) == want
+
+
+def test_best_of_groups_are_among_those_kept():
+    rng = np.random.default_rng(1)
+    group = np.sort(rng.integers(0, 300, 20_000))
+    group = group[(group % 7 != 3) | (rng.random(len(group)) < 0.02)]  # some groups of one or none
+    value = np.round(rng.normal(size=len(group)), 1)
+    for wanted in (1, 2, 3, 5):
+        kept = segmentations._best(value, group, 300, wanted)
+        assert len(kept) < len(group) / 2 and np.all(np.diff(kept) > 0)
+        for g in range(300):
+            best = np.sort(value[group == g])[::-1][:wanted]
+            assert np.array_equal(np.sort(value[kept][group[kept] == g])[::-1][:wanted], best)
+
+
+def test_steps_of_the_trie():
+    own = segmentations.vocabulary(PIECES)
+    rng = np.random.default_rng(2)
+    nodes, points = rng.integers(1, len(own.piece_at), 50_000), rng.integers(32, 0x250, 50_000)
+    held = own.keys >= 0
+    told = dict(zip(own.keys[held].tolist(), own.nodes[held].tolist()))
+    assert sorted(told.values()) == list(range(1, len(own.piece_at)))
+    want = [told.get(n << 21 | c, -1) for n, c in zip(nodes.tolist(), points.tolist())]
+    assert own.child(nodes, points).tolist() == want
+    real = np.array(list(told), np.int64)
+    assert own.child(real >> 21, real & 0x1FFFFF).tolist() == list(told.values())
