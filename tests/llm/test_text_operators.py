@@ -390,3 +390,16 @@ def test_steps_of_the_trie():
     assert own.child(nodes, points).tolist() == want
     real = np.array(list(told), np.int64)
     assert own.child(real >> 21, real & 0x1FFFFF).tolist() == list(told.values())
+
+
+def test_row_sums_of_ids_are_those_of_reduceat():
+    """To the last bit, without one strided reduction over the many ids that have few rows."""
+    rng = np.random.default_rng(3)
+    assert attention_lm.FEW == 8
+    for size, top in ((4096, 49_000), (4096, 64), (30, 9), (1, 1)):
+        index = np.minimum(rng.pareto(0.35, size).astype(np.int64), top)
+        rows = rng.normal(size=(size, 48)).astype(np.float32)
+        order = np.argsort(index, kind="stable")
+        ids, start = np.unique(index[order], return_index=True)
+        got, total = attention_lm._sum_by(index, rows)
+        assert np.array_equal(got, ids) and np.array_equal(total, np.add.reduceat(rows[order], start, axis=0))
