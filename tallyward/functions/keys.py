@@ -42,3 +42,15 @@ def date_key(c, missing: int | None = UNKNOWN_DATE_KEY) -> Column:
 
 def or_unknown(c) -> Column:
     return F.coalesce(_col(c), F.lit(UNKNOWN_KEY))
+
+
+def packed_key(c) -> Column:
+    """The 16 bytes of an MD5 text key, for shuffles. Other text becomes longer: 16 bytes are always a hash."""
+    other = F.concat(F.unhex(F.lit("00" * 17)), F.encode(_col(c), "UTF-8"))
+    return F.when(_col(c).rlike(r"^[0-9a-f]{32}\z"), F.unhex(_col(c))).otherwise(other)
+
+
+def unpacked_key(c) -> Column:
+    """The text of packed_key()."""
+    text = F.decode(F.substring(_col(c), 18, 2**31 - 1), "UTF-8")
+    return F.when(F.octet_length(_col(c)) == 16, F.lower(F.hex(_col(c)))).otherwise(text)

@@ -123,7 +123,7 @@ def refresh_twice(b: Bank) -> DataFrame:
         MF.merge_table(rows, f"{path}/fact", "transaction_id", "date_key", FT.LABELS, FT.VERSION)
 
     MF.rebuild_table(batch, f"{path}/fact", "date_key")
-    merge(FT.label_writeback(MF.read_table(b.spark, f"{path}/fact"), b.decisions, b.as_of, "ANALYST"))
+    merge(FT.label_writeback(MF.read_table(b.spark, f"{path}/fact"), b.decisions, b.as_of, "ANALYST", decided_only=True))
     for rows in (stream, late, batch):
         merge(rows)
     return MF.read_table(b.spark, f"{path}/fact").select(

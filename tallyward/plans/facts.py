@@ -207,11 +207,12 @@ def fact_fraud_alert(detections: DataFrame, decisions: DataFrame, employee: Data
 
 
 def label_writeback(fact_txn: DataFrame, decisions: DataFrame, label_day: str,
-                    source: str) -> DataFrame:
-    """Fill the label columns from decided reviews; other rows keep what they have."""
+                    source: str, decided_only: bool = False) -> DataFrame:
+    """Fill the label columns from decided reviews; other rows keep what they have, or are left out
+    (``decided_only``) where a merge keeps them anyway."""
     decided = one_decision(decisions).filter(F.col("is_confirmed_fraud").isNotNull()).select(
         "transaction_id", F.col("is_confirmed_fraud").alias("_label"))
-    df = fact_txn.join(decided, "transaction_id", "left")
+    df = fact_txn.join(decided, "transaction_id", "inner" if decided_only else "left")
     has = F.col("_label").isNotNull()
     key = date_key(F.lit(label_day).cast("date"))
     return df.withColumns({

@@ -144,9 +144,8 @@ def _merge(w: Warehouse, name: str, df: DataFrame, full_refresh: bool = False) -
 
 def write_back(w: Warehouse, decisions: DataFrame, source: str = "ANALYST") -> None:
     """Analysts' decisions as labels of stored transactions; rows without one are left alone."""
-    decided = FT.one_decision(decisions).filter("is_confirmed_fraud is not null").select("transaction_id")
-    rows = w.read("fact_transaction").join(decided, "transaction_id", "left_semi")
-    _merge(w, "fact_transaction", FT.label_writeback(rows, decisions, w.as_of, source))
+    rows = w.read("fact_transaction")
+    _merge(w, "fact_transaction", FT.label_writeback(rows, decisions, w.as_of, source, decided_only=True))
 
 
 def _build_facts(w: Warehouse, staged, dims, full_refresh: bool) -> dict[str, DataFrame]:

@@ -6,14 +6,17 @@ name by a rename that fails if the name is taken: readers see the old version or
 whatever happens in between, and of two writers that start from the same version one is refused.
 
 A merge knows versions of rows: an update that is older than the stored row changes nothing. Updates
-are computed once, judged against the stored keys in one scan of key and version columns, and only
-the partitions of winning rows are written again.
+are computed once and judged by key and version columns alone, and only the partitions of winning rows
+are written again. Whole rows, stored ones and updates, are shuffled once, by their place: a share of a
+partition, so that the tasks that join them write them as well. Meanwhile their MD5 keys are 16 bytes.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -21,8 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyward.functions.keys import packed_key, unpacked_key
+
 COMMIT = "_commit"
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+PLACE_ROWS = 200_000
+CODEC = {"compression": "zstd"}
+BY_ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 Version = tuple[tuple[str, str], ...]
 
 
@@ -112,16 +120,35 @@ def _write(df: DataFrame, path: str, partition: str) -> tuple[str, list[str]]:
     """Writes a commit's data; its id and the partition values that got rows."""
     commit = uuid.uuid4().hex
     folder = f"{path}/data/{COMMIT}={commit}"
-    df.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(folder)
+    df.write.options(**CODEC).partitionBy(partition).parquet(folder)
     prefix = f"{partition}="
     return commit, [n.removeprefix(prefix) for n in _names(df.sparkSession, folder) if n.startswith(prefix)]
 
 
+def _gathered(df: DataFrame, partition: str) -> DataFrame:
+    """The rows of a partition together, in a few tasks if there are many."""
+    return _unpacked(_packed(df).hint("rebalance", F.col(partition)), df.schema)
+
+
+def _hash_keys(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema if f.name.endswith("_key") and isinstance(f.dataType, T.StringType)]
+
+
+def _packed(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: packed_key(c) for c in _hash_keys(df.schema)})
+
+
+def _unpacked(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of ``schema`` out of packed ones."""
+    keys = _hash_keys(schema)
+    return df.select(*[unpacked_key(c).alias(c) if c in keys else F.col(c) for c in schema.names])
+
+
 def rebuild_table(df: DataFrame, path: str, partition: str) -> None:
     """A version that consists of ``df`` alone. ``df`` may read the version before."""
     spark = df.sparkSession
     old = snapshot(spark, path)
-    commit, values = _write(df, path, partition)
+    commit, values = _write(_gathered(df, partition), path, partition)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
     _commit(spark, path, Snapshot(old.number + 1 if old else 0, schema, partition, tuple((v, commit) for v in values)))
 
@@ -133,7 +160,7 @@ def append_table(df: DataFrame, path: str, partition: str) -> None:
     if old is None:
         rebuild_table(df, path, partition)
         return
-    commit, values = _write(df.select(*old.schema.names), path, partition)
+    commit, values = _write(_gathered(df.select(*old.schema.names), partition), path, partition)
     added = tuple((v, commit) for v in values)
     _commit(spark, path, Snapshot(old.number + 1, old.schema, partition, old.folders + added))
 
@@ -146,7 +173,7 @@ def compact_table(spark: SparkSession, path: str, most: int = 8) -> int:
         count[value] = count.get(value, 0) + 1
     many = {v for v, n in count.items() if n > most}
     if many:
-        commit, values = _write(_read(spark, path, old.only(many)), path, old.partition)
+        commit, values = _write(_gathered(_read(spark, path, old.only(many)), old.partition), path, old.partition)
         kept = tuple(f for f in old.folders if f[0] not in many)
         _commit(spark, path, Snapshot(old.number + 1, old.schema, old.partition, kept + tuple((v, commit) for v in values)))
     return len(many)
@@ -180,6 +207,17 @@ def _folder(value) -> str:
     return NULL_FOLDER if value is None else str(value)
 
 
+@contextmanager
+def _joined_where_they_are(spark: SparkSession) -> Iterator[None]:
+    """Joins may use a shuffle by some of their keys; by default Spark adds one by all of them."""
+    before = spark.conf.get(BY_ALL_KEYS)
+    spark.conf.set(BY_ALL_KEYS, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(BY_ALL_KEYS, before)
+
+
 def merge_table(updates: DataFrame, path: str, key: str, partition: str, keep: tuple[str, ...] = (),
                 version: Version = ()) -> None:
     """Merge ``updates`` (one row a key) into the table.
@@ -193,23 +231,40 @@ def merge_table(updates: DataFrame, path: str, key: str, partition: str, keep: t
         rebuild_table(updates, path, partition)
         return
     staging = f"{path}/_staged/{uuid.uuid4().hex}"
-    updates.select(*old.schema.names).write.parquet(f"{staging}/updates")
-    fresh = spark.read.schema(old.schema).parquet(f"{staging}/updates")
-    compared = list(dict.fromkeys([*(c for c, _ in version), *keep]))
+    numbered = updates.select(*old.schema.names, F.monotonically_increasing_id().alias("_row"))
+    numbered.write.options(**CODEC).parquet(f"{staging}/updates")
+    fresh = spark.read.schema(numbered.schema).parquet(f"{staging}/updates")
+    versions = [c for c, _ in version]
     held = _read(spark, path, old).select(
         key, F.col(partition).alias("_old_partition"), F.lit(True).alias("_stored"),
-        *[F.col(c).alias(f"_old_{c}") for c in compared])
-    judged = fresh.join(held, key, "left").filter(F.col("_stored").isNull() | not_older(version))
-    judged.select(
-        *[F.coalesce(c, f"_old_{c}").alias(c) if c in keep else F.col(c) for c in old.schema.names],
-        "_old_partition", "_stored").write.parquet(f"{staging}/winners")
+        *[F.col(c).alias(f"_old_{c}") for c in dict.fromkeys([*versions, *keep])])
+    judged = fresh.select(*dict.fromkeys([key, partition, *versions]), "_row").join(held, key, "left").filter(
+        F.col("_stored").isNull() | not_older(version))
+    judged.select(key, partition, "_row", "_old_partition", "_stored", *[f"_old_{c}" for c in keep]).write.options(
+        **CODEC).parquet(f"{staging}/winners")
     winners = spark.read.parquet(f"{staging}/winners")
+    beaten = winners.filter("_stored").select(key, F.col("_old_partition").alias(partition))
     # Partition values, not rows: as many as the table has days.
-    places = winners.select(partition).union(winners.filter("_stored").select("_old_partition")).distinct()
+    places = winners.select(partition).union(beaten.select(partition)).distinct()
     touched = {_folder(r[0]) for r in places.collect()}
     if touched:
-        kept = _read(spark, path, old.only(touched)).join(winners.select(key), key, "left_anti")
-        commit, values = _write(kept.unionByName(winners.select(*old.schema.names)), path, partition)
+        stored = _read(spark, path, old.only(touched))
+        counts = stored.select(partition).union(winners.select(partition)).groupBy(partition).count()
+        shares = -(-counts.agg(F.max("count")).first()[0] // PLACE_ROWS)
+
+        def placed(df: DataFrame, by: str) -> DataFrame:
+            place = F.xxhash64(partition, F.pmod(F.xxhash64(by), F.lit(shares)))
+            return df.withColumn("_place", place).repartition("_place")
+
+        # No left_anti: Spark moves that in front of the shuffle.
+        gone = placed(beaten, key).select("_place", key, F.lit(True).alias("_gone"))
+        kept = placed(_packed(stored), key).join(gone, ["_place", key], "left").filter("_gone is null")
+        won = placed(winners, "_row").select("_place", "_row", *[f"_old_{c}" for c in keep])
+        new = placed(_packed(fresh), "_row").join(won, ["_place", "_row"]).withColumns(
+            {c: F.coalesce(c, f"_old_{c}") for c in keep})
+        rows = _unpacked(kept, old.schema).unionByName(_unpacked(new, old.schema))
+        with _joined_where_they_are(spark):
+            commit, values = _write(rows, path, partition)
         rest = tuple(f for f in old.folders if f[0] not in touched)
         _commit(spark, path, Snapshot(old.number + 1, old.schema, partition, rest + tuple((v, commit) for v in values)))
     try:

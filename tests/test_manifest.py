@@ -111,6 +111,82 @@ def test_updates_are_computed_once(spark, tmp_path):
     assert runs.value == 30 and len(told(spark, path)) == 31
 
 
+WIDE = "id string, day int, amount int, label boolean, prio int, at timestamp, city_key string"
+
+
+def keyed(spark, *rows):
+    return spark.createDataFrame(rows, WIDE)
+
+
+def plans_of_writes(monkeypatch, folder):
+    """Plans of what is written to paths that hold ``folder``, as they come."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    parquet, plans = DataFrameWriter.parquet, []
+
+    def seen(self, where, *args, **kwargs):
+        if folder in where:
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return parquet(self, where, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    return plans
+
+
+def test_whole_rows_are_shuffled_once_in_a_merge(spark, tmp_path, monkeypatch):
+    """No shuffle lies above another one: the tasks that join rows write them, too."""
+    path, plans = str(tmp_path / "fact"), plans_of_writes(monkeypatch, "/data/")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(M, "PLACE_ROWS", 4, raising=False)
+    rows = [(f"k{i}", i % 3, i, None, 1, at(5), f"{i:032x}") for i in range(40)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        M.rebuild_table(keyed(spark, *rows), path, "day")
+        merge(keyed(spark, *[(*r[:2], -r[2], *r[3:]) for r in rows[::2]], ("new", 1, 1, None, 1, at(5), "-1")), path)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above, most = [], 0
+    for line in plans[-1].splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        above = [d for d in above if d < depth]
+        if line.lstrip(" :+-").startswith("Exchange"):
+            above.append(depth)
+            most = max(most, len(above))
+    assert most == 1
+    found = {r["id"]: (r["amount"], r["city_key"]) for r in M.read_table(spark, path).collect()}
+    assert found == {f"k{i}": (-i if i % 2 == 0 else i, f"{i:032x}") for i in range(40)} | {"new": (1, "-1")}
+
+
+def test_a_merge_reads_whole_updates_only_to_write_them(spark, tmp_path, monkeypatch):
+    """Updates are judged by key and version: where none wins, no other column is read again."""
+    path, read = str(tmp_path / "fact"), plans_of_writes(monkeypatch, "/winners")
+    M.rebuild_table(keyed(spark, ("a", 1, 1, None, 1, at(5), "x")), path, "day")
+    merge(keyed(spark, ("a", 1, 9, None, 1, at(4), "y")), path)
+    assert len(read) == 1 and "prio" in read[0] and "city_key" not in read[0] and "amount" not in read[0]
+    assert M.read_table(spark, path).first()["amount"] == 1
+
+
+def test_merges_of_null_keys_null_days_and_twins(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(M, "PLACE_ROWS", 2, raising=False)
+    path = str(tmp_path / "fact")
+    M.rebuild_table(fact(spark, (None, 1, 1, True, 1, at(5)), (None, None, 2, None, 1, at(5)), ("a", None, 3, True, 1, at(5)),
+                         ("b", 2, 4, None, 1, at(5))), path, "day")
+    merge(fact(spark, (None, 1, 10, None, 1, at(6)), (None, 1, 10, None, 1, at(6)), ("a", None, 11, None, 1, at(6)),
+               ("b", None, 12, False, 1, at(6)), ("c", 3, 13, None, 1, at(6)), ("c", 3, 14, None, 1, at(6))), path)
+    got = Counter((r["id"], r["day"], r["amount"], r["label"]) for r in M.read_table(spark, path).collect())
+    assert got == Counter({(None, 1, 1, True): 1, (None, None, 2, None): 1, (None, 1, 10, None): 2, ("a", None, 11, True): 1,
+                           ("b", None, 12, False): 1, ("c", 3, 13, None): 1, ("c", 3, 14, None): 1})
+
+
+def test_packed_keys_come_back(spark):
+    odd = [None, "", "-1", "a" * 15, "a" * 16, "f" * 31, "0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "g" * 32,
+           "a" * 32 + "\n", "\u00e9" * 8, "\u00e9" * 16, "\0" * 16, "a" * 33, "a" * 64]
+    df = spark.createDataFrame([(i, k, k) for i, k in enumerate(odd)], "i int, x_key string, other string")
+    packed = M._packed(df)
+    assert dict(packed.dtypes)["x_key"] == "binary" and dict(packed.dtypes)["other"] == "string"
+    assert len({bytes(r[0]) for r in packed.select("x_key").collect() if r[0] is not None}) == len(odd) - 1
+    assert [r["x_key"] for r in M._unpacked(packed, df.schema).orderBy("i").collect()] == odd
+
+
 def test_append_and_compact(spark, tmp_path):
     path = str(tmp_path / "log")
     for i in range(4):
