@@ -127,20 +127,21 @@ def _write(df: DataFrame, path: str, partition: str) -> tuple[str, list[str]]:
 
 def _gathered(df: DataFrame, partition: str) -> DataFrame:
     """The rows of a partition together, in a few tasks if there are many."""
-    return _unpacked(_packed(df).hint("rebalance", F.col(partition)), df.schema)
+    keys = _hash_keys(df.schema, partition)
+    return _unpacked(_packed(df, keys).hint("rebalance", F.col(partition)), df.schema, keys)
 
 
-def _hash_keys(schema: T.StructType) -> list[str]:
-    return [f.name for f in schema if f.name.endswith("_key") and isinstance(f.dataType, T.StringType)]
+def _hash_keys(schema: T.StructType, *but: str) -> list[str]:
+    """Text columns that are shuffled as bytes; not those that rows are found by."""
+    return [f.name for f in schema if f.name.endswith("_key") and isinstance(f.dataType, T.StringType) and f.name not in but]
 
 
-def _packed(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: packed_key(c) for c in _hash_keys(df.schema)})
+def _packed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumns({c: packed_key(c) for c in keys})
 
 
-def _unpacked(df: DataFrame, schema: T.StructType) -> DataFrame:
+def _unpacked(df: DataFrame, schema: T.StructType, keys: list[str]) -> DataFrame:
     """Rows of ``schema`` out of packed ones."""
-    keys = _hash_keys(schema)
     return df.select(*[unpacked_key(c).alias(c) if c in keys else F.col(c) for c in schema.names])
 
 
@@ -250,6 +251,7 @@ def merge_table(updates: DataFrame, path: str, key: str, partition: str, keep: t
     if touched:
         stored = _read(spark, path, old.only(touched))
         counts = stored.select(partition).union(winners.select(partition)).groupBy(partition).count()
+        hashes = _hash_keys(old.schema, key, partition, *keep)
         shares = -(-counts.agg(F.max("count")).first()[0] // PLACE_ROWS)
 
         def placed(df: DataFrame, by: str) -> DataFrame:
@@ -258,11 +260,11 @@ def merge_table(updates: DataFrame, path: str, key: str, partition: str, keep: t
 
         # No left_anti: Spark moves that in front of the shuffle.
         gone = placed(beaten, key).select("_place", key, F.lit(True).alias("_gone"))
-        kept = placed(_packed(stored), key).join(gone, ["_place", key], "left").filter("_gone is null")
+        kept = placed(_packed(stored, hashes), key).join(gone, ["_place", key], "left").filter("_gone is null")
         won = placed(winners, "_row").select("_place", "_row", *[f"_old_{c}" for c in keep])
-        new = placed(_packed(fresh), "_row").join(won, ["_place", "_row"]).withColumns(
+        new = placed(_packed(fresh, hashes), "_row").join(won, ["_place", "_row"]).withColumns(
             {c: F.coalesce(c, f"_old_{c}") for c in keep})
-        rows = _unpacked(kept, old.schema).unionByName(_unpacked(new, old.schema))
+        rows = _unpacked(kept, old.schema, hashes).unionByName(_unpacked(new, old.schema, hashes))
         with _joined_where_they_are(spark):
             commit, values = _write(rows, path, partition)
         rest = tuple(f for f in old.folders if f[0] not in touched)

@@ -177,14 +177,25 @@ def test_merges_of_null_keys_null_days_and_twins(spark, tmp_path, monkeypatch):
                            ("b", None, 12, False): 1, ("c", 3, 13, None): 1, ("c", 3, 14, None): 1})
 
 
+def test_rows_are_found_by_hash_keys_too(spark, tmp_path):
+    """Key, partition and kept columns may be MD5 text themselves."""
+    path, schema = str(tmp_path / "snap"), "snap_key string, part_key string, label_key string, n_key string, n int"
+    h = [f"{i:032x}" for i in range(9)]
+    for rows in ([(h[0], h[5], h[6], h[1], 1), (h[1], h[5], None, "-1", 2), (h[2], "-1", h[8], None, 3)],
+                 [(h[0], h[5], None, h[2], 4), (h[1], "-1", h[7], h[3], 5), (h[3], h[5], None, h[4], 6)]):
+        M.merge_table(spark.createDataFrame(rows, schema), path, "snap_key", "part_key", ("label_key",))
+    got = {tuple(r) for r in M.read_table(spark, path).select("snap_key", "part_key", "label_key", "n_key", "n").collect()}
+    assert got == {(h[0], h[5], h[6], h[2], 4), (h[1], "-1", h[7], h[3], 5), (h[2], "-1", h[8], None, 3), (h[3], h[5], None, h[4], 6)}
+
+
 def test_packed_keys_come_back(spark):
     odd = [None, "", "-1", "a" * 15, "a" * 16, "f" * 31, "0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "g" * 32,
            "a" * 32 + "\n", "\u00e9" * 8, "\u00e9" * 16, "\0" * 16, "a" * 33, "a" * 64]
     df = spark.createDataFrame([(i, k, k) for i, k in enumerate(odd)], "i int, x_key string, other string")
-    packed = M._packed(df)
+    packed = M._packed(df, M._hash_keys(df.schema))
     assert dict(packed.dtypes)["x_key"] == "binary" and dict(packed.dtypes)["other"] == "string"
     assert len({bytes(r[0]) for r in packed.select("x_key").collect() if r[0] is not None}) == len(odd) - 1
-    assert [r["x_key"] for r in M._unpacked(packed, df.schema).orderBy("i").collect()] == odd
+    assert [r["x_key"] for r in M._unpacked(packed, df.schema, ["x_key"]).orderBy("i").collect()] == odd
 
 
 def test_append_and_compact(spark, tmp_path):
