@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.dates import month_boundaries
@@ -74,14 +74,25 @@ def star_join(df: DataFrame, dims: dict[str, DataFrame], keys: tuple[str, ...] =
 VERSION = (("source_priority", "asc"), ("source_load_ts", "desc"))
 
 
+def one_row_each(sources: DataFrame) -> DataFrame:
+    """One row per transaction; real-time rows win over batch rows."""
+    return by_priority(sources, "transaction_id", "source_priority", "load_ts")
+
+
+def only_columns(sources: DataFrame, columns: tuple[str, ...]) -> tuple[DataFrame, dict[str, Column]]:
+    """Source rows with ``columns`` alone, to be stored, and the others as NULL, to be put back."""
+    others = {f.name: F.lit(None).cast(f.dataType) for f in sources.schema if f.name not in columns}
+    return sources.select(*columns), others
+
+
 def fact_transaction(sources: DataFrame, dims: dict[str, DataFrame], now: str, versioned: bool = False,
-                     keys: tuple[str, ...] = FACT_KEYS) -> DataFrame:
-    """One row per transaction; real-time rows win over batch rows. ``versioned`` adds the columns
-    that tell a merge how new a row is. A reader of a few dimensions names their ``keys``; the other
-    key columns are then left out."""
+                     keys: tuple[str, ...] = FACT_KEYS, chosen: bool = False) -> DataFrame:
+    """One row per transaction; real-time rows win over batch rows, unless ``sources`` come ``chosen`` by
+    one_row_each(). ``versioned`` adds the columns that tell a merge how new a row is. A reader of a few
+    dimensions names their ``keys``; the other key columns are then left out."""
     order = ("customer_key", "account_key", "card_key", "merchant_key", "atm_key", "branch_key", "transaction_type_key")
     version = ["source_priority", F.col("load_ts").alias("source_load_ts")] if versioned else []
-    rows = star_join(by_priority(sources, "transaction_id", "source_priority", "load_ts"), dims, keys)
+    rows = star_join(sources if chosen else one_row_each(sources), dims, keys)
     return with_audit(rows.select(
         surrogate_key("transaction_id").alias("transaction_fact_key"), "transaction_id",
         date_key("transaction_date").alias("date_key"), *[k for k in order if k in keys], "amount",

@@ -86,6 +86,14 @@ FOREIGN_KEYS = [
 ]
 
 
+def tested_columns(model: str) -> list[str]:
+    """The columns of a model that any declared test reads."""
+    columns = [*MODEL_TESTS[model], *[c for name, c, _ in ACCEPTED if name == model]]
+    for child, fk, parent, pk in FOREIGN_KEYS:
+        columns += [c for name, c in ((child, fk), (parent, pk)) if name == model]
+    return list(dict.fromkeys(columns))
+
+
 def warehouse_checks(models: dict[str, DataFrame]) -> list[Check | DataFrame]:
     """Every declared test whose model is present."""
     checks: list[Check | DataFrame] = []

@@ -11,7 +11,10 @@ from tallyward.operators import quality as Q
 from tallyward.operators import scd2 as S
 from tallyward.operators.dedup import latest_per_key
 from tallyward.operators.enrich import two_tier_lookup
+from tallyward.plans import catalog as CT
+from tallyward.plans import facts as FT
 from tallyward.plans.staging import stage_batch
+from tallyward.plans.warehouse import tested_columns
 from tallyward.session import cut_lineage
 from tallyward.schemas import BATCH_COLUMNS, NEVER_EXTRACTED, RAW_LOCATIONS, RAW_SCHEMAS
 from tallyward.sources import raw as R
@@ -244,3 +247,18 @@ def test_events_of_one_row_group_are_dealt_to_several_tasks(spark, tmp_path):
     finally:
         spark.conf.unset(small)
     assert sum(sizes) == 20000 and len(sizes) > 1 and max(sizes) < 15000
+
+
+def test_dq_report_stores_only_tested_columns(bank, monkeypatch):
+    """Whole facts were stored, and the rows both consist of were made twice."""
+    stored = []
+    monkeypatch.setattr(CT, "cut_lineage", lambda df: stored.append(df.columns) or df)
+    CT.dq_report(bank)
+    assert stored == [
+        ["transaction_id", "amount", "customer_id", "account_number", "transaction_type_id", "merchant_id", "atm_id", "card_number_hashed"],
+        ["transaction_id", "amount", "customer_key", "account_key", "merchant_key", "atm_key"],
+        ["transaction_id", "fraud_score", "risk_indication", "action_taken", "model_key"]]
+    assert tested_columns("dim_branch") == ["branch_key", "branch_id"]
+    rows, others = FT.only_columns(FT.one_row_each(bank.sources), ("transaction_id", "amount", *[on for _, on, _, _ in FT.LINKS]))
+    fact = FT.fact_transaction(rows.withColumns(others), bank.dims, bank.now, chosen=True)
+    assert fact.dtypes == bank.fact_transaction.dtypes
