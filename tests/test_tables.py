@@ -14,7 +14,7 @@ from tallyward.operators.enrich import two_tier_lookup
 from tallyward.plans import catalog as CT
 from tallyward.plans import facts as FT
 from tallyward.plans.staging import stage_batch
-from tallyward.plans.warehouse import tested_columns
+from tallyward.plans import warehouse as WH
 from tallyward.session import cut_lineage
 from tallyward.schemas import BATCH_COLUMNS, NEVER_EXTRACTED, RAW_LOCATIONS, RAW_SCHEMAS
 from tallyward.sources import raw as R
@@ -258,7 +258,7 @@ def test_dq_report_stores_only_tested_columns(bank, monkeypatch):
         ["transaction_id", "amount", "customer_id", "account_number", "transaction_type_id", "merchant_id", "atm_id", "card_number_hashed"],
         ["transaction_id", "amount", "customer_key", "account_key", "merchant_key", "atm_key"],
         ["transaction_id", "fraud_score", "risk_indication", "action_taken", "model_key"]]
-    assert tested_columns("dim_branch") == ["branch_key", "branch_id"]
+    assert WH.tested_columns("dim_branch") == ["branch_key", "branch_id"]
     rows, others = FT.only_columns(FT.one_row_each(bank.sources), ("transaction_id", "amount", *[on for _, on, _, _ in FT.LINKS]))
     fact = FT.fact_transaction(rows.withColumns(others), bank.dims, bank.now, chosen=True)
     assert fact.dtypes == bank.fact_transaction.dtypes
